@@ -19,9 +19,9 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
     Output columns are those of ``left`` followed by the non-key columns of ``right``.
     """
     keys = key_list(keys)
-    renamed = right.withColumnsRenamed({key: f"__{key}" for key in keys})
-    condition = reduce(Column.__and__, [left[key].eqNullSafe(renamed[f"__{key}"]) for key in keys])
-    return left.join(renamed, condition, how).drop(*[f"__{key}" for key in keys])
+    renamed = right.withColumnsRenamed({key: f"__match_{key}" for key in keys})
+    condition = reduce(Column.__and__, [left[key].eqNullSafe(renamed[f"__match_{key}"]) for key in keys])
+    return left.join(renamed, condition, how).drop(*[f"__match_{key}" for key in keys])
 
 
 def broadcast_if_small(table: DataFrame, max_rows: int = 200_000) -> DataFrame:

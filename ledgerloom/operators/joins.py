@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import exact
 from ledgerloom.functions.matching import broadcast_if_small, key_list
+from ledgerloom.session import ensure_checkpoint_dir
 
 STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash")
 
@@ -92,39 +93,61 @@ def as_of_lookup(probe: DataFrame, dim: DataFrame, key: str, at: str, attr: str,
         probe[key], probe[at], F.col(attr).alias(name))
 
 
+def _pairs_of_arrays(lines: DataFrame, basket: str, item: str, first: str, second: str) -> DataFrame:
+    """Row pairs of each basket, the smaller item first, from one sorted array per basket."""
+    arrays = lines.groupBy(basket).agg(F.array_sort(F.collect_list(item)).alias("__items"))
+    heads = arrays.select("__items", F.posexplode("__items").alias("__at", first))
+    rest = F.slice("__items", F.col("__at") + 2, F.size("__items"))
+    return heads.select(first, F.explode(rest).alias(second)).where(F.col(first) < F.col(second))
+
+
+def _pairs_by_join(lines: DataFrame, basket: str, item: str, first: str, second: str, count: str) -> DataFrame:
+    """Pairs and their counts from lines reduced to (basket, item, copies)."""
+    left = lines.select(basket, F.col(item).alias(first), F.col("copies").alias("copies_1"))
+    right = lines.select(basket, F.col(item).alias(second), F.col("copies").alias("copies_2"))
+    return (
+        left.join(right, basket)
+        .where(F.col(first) < F.col(second))
+        .groupBy(first, second)
+        .agg(F.sum(F.col("copies_1") * F.col("copies_2")).alias(count))
+    )
+
+
 def co_occurrence(df: DataFrame, basket: str, item: str, n: int, narrow: int = 200,
                   names: Sequence[str] = ("product_id_1", "product_id_2", "times_bought_together")) -> DataFrame:
     """The ``n`` item pairs found together most often, ties broken by the pair.
 
-    Exact for baskets of any width without listing the pairs of a wide one:
+    Baskets of at most ``narrow`` lines have their pairs listed, from an array of that length at most.
+    Wider baskets, if there are any, are counted without listing all their pairs:
 
-    * pairs of baskets with at most ``narrow`` distinct items are listed and counted; the ``n``-th
-      best of these counts is a floor that any pair of the answer must reach;
+    * the ``n``-th best count among listed pairs is a floor that every pair of the answer must reach;
     * in wide baskets an item has a weight (squares of its multiplicities, added up), and a pair's
       count there is at most the geometric mean of its two weights.  Listed pairs that could still
       reach the floor get their exact wide count by lookup;
-    * a pair in wide baskets only is listed if both its items have the weight to reach the floor.
+    * a pair found in wide baskets only is listed if both its items have the weight to reach the floor.
+
+    The listed pairs are used several times in that case, so they are checkpointed.
     """
     first, second, score = names
-    lines = df.groupBy(basket, item).agg(F.count(F.lit(1)).alias("copies"))
-    wide_baskets = lines.groupBy(basket).agg(F.count(F.lit(1)).alias("width")).where(F.col("width") > narrow)
-    wide_keys = wide_baskets.select(basket)
-    narrow_lines, wide_lines = lines.join(wide_keys, basket, "left_anti"), lines.join(wide_keys, basket, "left_semi")
-
-    def pairs_of(rows: DataFrame, count: str) -> DataFrame:
-        left = rows.select(basket, F.col(item).alias(first), F.col("copies").alias("copies_1"))
-        right = rows.select(basket, F.col(item).alias(second), F.col("copies").alias("copies_2"))
-        return (
-            left.join(right, basket)
-            .where(F.col(first) < F.col(second))
-            .groupBy(first, second)
-            .agg(F.sum(F.col("copies_1") * F.col("copies_2")).alias(count))
-        )
-
-    listed = pairs_of(narrow_lines, "listed")
+    lines = df.select(basket, item).where(F.col(basket).isNotNull() & F.col(item).isNotNull())
+    wide_keys = lines.groupBy(basket).agg(F.count(F.lit(1)).alias("width")).where(F.col("width") > narrow).select(basket)
+    has_wide = not wide_keys.isEmpty()
+    narrow_lines = lines.join(wide_keys, basket, "left_anti") if has_wide else lines
+    listed = (
+        _pairs_of_arrays(narrow_lines, basket, item, first, second)
+        .groupBy(first, second)
+        .agg(F.count(F.lit(1)).alias("listed"))
+    )
+    if not has_wide:
+        return listed.withColumnRenamed("listed", score).orderBy(F.desc(score), first, second).limit(n)
+
+    ensure_checkpoint_dir(df.sparkSession)
+    listed = listed.checkpoint()
+    wide_lines = (
+        lines.join(wide_keys, basket, "left_semi").groupBy(basket, item).agg(F.count(F.lit(1)).alias("copies"))
+    )
     best = listed.orderBy(F.desc("listed"), first, second).limit(n)
     floor = best.agg(F.when(F.count(F.lit(1)) == n, F.min("listed")).otherwise(F.lit(1))).scalar()
-
     weights = wide_lines.groupBy(item).agg(F.sum(F.col("copies") * F.col("copies")).alias("weight"))
     heaviest = weights.agg(F.max("weight")).scalar()
 
@@ -147,8 +170,7 @@ def co_occurrence(df: DataFrame, basket: str, item: str, n: int, narrow: int = 2
         first, second, (F.col("listed") + F.coalesce("extra", F.lit(0))).alias(score))
 
     able = weights.where(F.sqrt(F.col("weight").cast("double") * heaviest) >= floor - 0.5).select(item)
-    wide_only = (
-        pairs_of(wide_lines.join(able, item, "left_semi"), score)
-        .join(listed.select(first, second), [first, second], "left_anti")
-    )
+    wide_only = _pairs_by_join(
+        wide_lines.join(able, item, "left_semi"), basket, item, first, second, score
+    ).join(listed.select(first, second), [first, second], "left_anti")
     return counted.unionByName(wide_only).orderBy(F.desc(score), first, second).limit(n)

@@ -77,8 +77,8 @@ def dataset_diff(actual: DataFrame, expected: DataFrame, keys: Sequence[str], to
         return a.eqNullSafe(b)
 
     left = side(actual, "a")
-    right = side(expected, "e").withColumnsRenamed({k: f"__{k}" for k in keys})
-    match = reduce(Column.__and__, [left[k].eqNullSafe(right[f"__{k}"]) for k in keys])
+    right = side(expected, "e").withColumnsRenamed({k: f"__match_{k}" for k in keys})
+    match = reduce(Column.__and__, [left[k].eqNullSafe(right[f"__match_{k}"]) for k in keys])
     equal = reduce(Column.__and__, [same(c) for c in values], F.lit(True))
     kind = (
         F.when(F.col("a_rows").isNull(), "missing")
@@ -86,7 +86,7 @@ def dataset_diff(actual: DataFrame, expected: DataFrame, keys: Sequence[str], to
         .when((F.col("a_rows") > 1) | (F.col("e_rows") > 1), "duplicated")
         .when(~equal, "changed")
     )
-    shown = [F.when(F.col("a_rows").isNull(), F.col(f"__{k}")).otherwise(F.col(k)).alias(k) for k in keys]
+    shown = [F.when(F.col("a_rows").isNull(), F.col(f"__match_{k}")).otherwise(F.col(k)).alias(k) for k in keys]
     return (
         left.join(right, match, "full_outer")
         .withColumn("difference", kind)

@@ -8,6 +8,9 @@ distinct value, with its row count), laid out in buckets of neighbouring values:
 * a bucket holds at most ``2**BUCKET_BITS`` distinct values, so a window over one is bounded;
 * the number of rows before a bucket comes from a window over bucket totals.
 
+Where every group is small, an ordinary window is cheaper; the operators count the largest group
+first, and take the window up to ``WINDOW_ROWS`` rows.  The results are the same.
+
 Values are ordered through an *ordinal*: a ``long`` that maps one-to-one and in order to the value
 (cents for money, days for dates).
 """
@@ -24,6 +27,7 @@ from ledgerloom.functions.matching import key_list, null_safe_join
 
 BUCKET_BITS = 20
 LOWEST = -(1 << 63)
+WINDOW_ROWS = 2_000_000
 
 _RANKS = {"row_number": F.row_number, "dense": F.dense_rank, "rank": F.rank}
 
@@ -69,82 +73,91 @@ def value_runs(df: DataFrame, by: str | Sequence[str], ordinal: str, bits: int =
     )
 
 
+def _groups_fit(df: DataFrame, by: Sequence[str], rows: int) -> bool:
+    """Whether no group has more than ``rows`` rows; one number comes to the driver."""
+    largest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return (largest or 0) <= rows
+
+
 def _with_ordinal(df: DataFrame, amount: Column | str) -> DataFrame:
     """Nulls order first, as in an ascending window."""
     return df.withColumn("__ordinal", F.coalesce(exact.cents(amount), F.lit(LOWEST)))
 
 
 def percent_rank_by(df: DataFrame, by: str | Sequence[str], amount: str, digits: int = 4,
-                    name: str = "pct_rank", bits: int = BUCKET_BITS) -> DataFrame:
+                    name: str = "pct_rank", window_rows: int = WINDOW_ROWS, bits: int = BUCKET_BITS) -> DataFrame:
     """``percent_rank`` of a money column within the group, on every row."""
     by = key_list(by)
     rows = _with_ordinal(df, amount)
+    if _groups_fit(df, by, window_rows):
+        place = F.percent_rank().over(Window.partitionBy(*by).orderBy("__ordinal"))
+        return rows.withColumn(name, exact.half_up(place, digits)).drop("__ordinal")
     runs = value_runs(rows.select(*by, "__ordinal"), by, "__ordinal", bits)
     share = F.when(F.col("group_rows") > 1, F.col("before") / (F.col("group_rows") - 1)).otherwise(F.lit(0.0))
     ranks = runs.select(*by, "__ordinal", exact.half_up(share, digits).alias(name))
     return null_safe_join(rows, ranks, [*by, "__ordinal"]).drop("__ordinal")
 
 
-def _starting_tiles(n: int) -> Column:
-    """Tiles 2..n whose first row lies in the run, as (tile, rows of the run left to skip)."""
-    rows, size, extra = F.col("group_rows"), F.floor(F.col("group_rows") / n), F.col("group_rows") % n
+def _tile_starts(n: int) -> Column:
+    """Of a run, the tiles whose first row lies in it, with the rows of the run left to skip."""
+    size, extra = F.floor(F.col("group_rows") / n), F.col("group_rows") % n
+    longer = extra * (size + 1)
 
-    def first_row(tile: Column) -> Column:
-        return (tile - 1) * size + F.least((tile - 1).cast("long"), extra)
+    def tile_of(position: Column) -> Column:
+        later = extra + F.floor((position - longer) / F.greatest(size, F.lit(1)))
+        return F.when(position < longer, F.floor(position / (size + 1))).otherwise(later) + 1
 
-    tiles = F.transform(
-        F.sequence(F.lit(2), F.lit(n)),
-        lambda tile: F.struct(tile.alias("tile"), (first_row(tile) - F.col("before")).alias("skip")),
-    )
-    return F.filter(tiles, lambda t: (t["skip"] >= 0) & (t["skip"] < F.col("run_rows"))
-                    & (t["skip"] + F.col("before") < rows))
+    before, end = F.col("before"), F.col("before") + F.col("run_rows")
+    first = F.when(before == 0, 2).otherwise(tile_of(before - 1) + 1)
+    last = tile_of(end - 1)
+    starts = F.transform(F.sequence(first, last), lambda tile: F.struct(
+        tile.alias("tile"), ((tile - 1) * size + F.least(tile - 1, extra) - before).alias("skip")))
+    return F.when(first <= last, starts)
 
 
 def ntile_by(df: DataFrame, by: str | Sequence[str], amount: str, key: str, n: int, name: str = "tile",
-             bits: int = BUCKET_BITS) -> DataFrame:
+             window_rows: int = WINDOW_ROWS, bits: int = BUCKET_BITS) -> DataFrame:
     """``ntile(n)`` over (amount, key) within the group; ``key`` is a unique ``long``.
 
-    Only the first row of each tile has to be located; every row then finds its tile by comparing
-    itself with the ``n - 1`` cuts of its group, without being moved or sorted.
+    Only the first row of each tile has to be located: first the run it lies in, then the slot of
+    ``2**bits`` neighbouring keys of that run, then the row.  Every row finds its tile by comparing
+    itself with the ``n - 1`` first rows of its group, without being moved or sorted.
     """
     by = key_list(by)
-    if n < 2:
-        return df.withColumn(name, F.lit(1).cast("long"))
     rows = _with_ordinal(df, amount)
-    keyed = rows.select(*by, "__ordinal", F.col(key).alias("__key"))
+    if _groups_fit(df, by, window_rows):
+        tile = F.ntile(n).over(Window.partitionBy(*by).orderBy("__ordinal", key))
+        return rows.withColumn(name, tile.cast("long")).drop("__ordinal")
+    keyed = rows.select(*by, "__ordinal", F.col(key).alias("__row_key"))
     starts = (
         value_runs(keyed, by, "__ordinal", bits)
-        .select(*by, "__ordinal", F.explode(_starting_tiles(n)).alias("start"))
-        .select(*by, "__ordinal", F.col("start.tile").alias("tile"), F.col("start.skip").alias("skip"))
-    )
-    whole = starts.where(F.col("skip") == 0).select(*by, "tile", "__ordinal", F.lit(None).cast("long").alias("__key"))
-    inside = starts.where(F.col("skip") > 0)
-    runs_cut = inside.select(*by, "__ordinal").distinct()
-    cut_rows = null_safe_join(keyed, runs_cut, [*by, "__ordinal"], "left_semi").withColumn(
-        "__slot", F.shiftright("__key", bits))
-    slots = cut_rows.groupBy(*by, "__ordinal", "__slot").agg(F.count(F.lit(1)).alias("slot_rows"))
-    ladder = (
-        Window.partitionBy(*by, "__ordinal").orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
+        .select(*by, "__ordinal", _tile_starts(n).alias("__starts"))
+        .where(F.col("__starts").isNotNull())
     )
-    slots = slots.withColumn("slot_before", F.coalesce(F.sum("slot_rows").over(ladder), F.lit(0)))
+    slot = [*by, "__ordinal", "__slot"]
+    near = null_safe_join(keyed, starts, [*by, "__ordinal"]).withColumn("__slot", F.shiftright("__row_key", bits))
+    ladder = Window.partitionBy(*by, "__ordinal").orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
     picked = (
-        null_safe_join(inside, slots, [*by, "__ordinal"])
-        .withColumn("skip", F.col("skip") - F.col("slot_before"))
-        .where((F.col("skip") >= 0) & (F.col("skip") < F.col("slot_rows")))
-        .select(*by, "__ordinal", "__slot", "tile", "skip")
+        near.groupBy(*slot)
+        .agg(F.count(F.lit(1)).alias("slot_rows"), F.any_value("__starts").alias("__starts"))
+        .withColumn("slot_before", F.coalesce(F.sum("slot_rows").over(ladder), F.lit(0)))
+        .select(*slot, "slot_rows", "slot_before", F.explode("__starts").alias("__start"))
+        .withColumn("__skip", F.col("__start.skip") - F.col("slot_before"))
+        .where((F.col("__skip") >= 0) & (F.col("__skip") < F.col("slot_rows")))
+        .groupBy(*slot)
+        .agg(F.collect_list("__skip").alias("__skips"))
     )
-    slot_keys = [*by, "__ordinal", "__slot"]
-    numbered = null_safe_join(cut_rows, picked.select(*slot_keys).distinct(), slot_keys, "left_semi").withColumn(
-        "skip", F.row_number().over(Window.partitionBy(*slot_keys).orderBy("__key")).cast("long") - 1)
-    split = null_safe_join(picked, numbered, [*slot_keys, "skip"]).select(*by, "tile", "__ordinal", "__key")
+    place = F.row_number().over(Window.partitionBy(*slot).orderBy("__row_key")) - 1
     cuts = (
-        whole.unionByName(split)
+        null_safe_join(near.drop("__starts"), picked, slot)
+        .withColumn("__place", place.cast("long"))
+        .where(F.array_contains("__skips", F.col("__place")))
         .groupBy(*by)
-        .agg(F.collect_list(F.struct("__ordinal", "__key")).alias("__cuts"))
+        .agg(F.collect_list(F.struct("__ordinal", "__row_key")).alias("__cuts"))
     )
 
     def reached(cut: Column) -> Column:
-        same = (cut["__ordinal"] == F.col("__ordinal")) & (cut["__key"].isNull() | (cut["__key"] <= F.col(key)))
+        same = (cut["__ordinal"] == F.col("__ordinal")) & (cut["__row_key"] <= F.col(key))
         return (cut["__ordinal"] < F.col("__ordinal")) | same
 
     passed = F.coalesce(F.size(F.filter("__cuts", reached)), F.lit(0))
@@ -156,13 +169,18 @@ def ntile_by(df: DataFrame, by: str | Sequence[str], amount: str, key: str, n: i
 
 
 def percentiles_by(df: DataFrame, by: str | Sequence[str], amount: Column | str, percents: dict[str, float],
-                   digits: int = 2, bits: int = BUCKET_BITS) -> DataFrame:
+                   digits: int = 2, window_rows: int = WINDOW_ROWS, bits: int = BUCKET_BITS) -> DataFrame:
     """Exact interpolated percentiles of a money column; ``percents`` maps output name to fraction.
 
-    Nulls are left out, as ``percentile_cont`` does.
+    Nulls are left out, as ``percentile_cont`` does; a group of nulls only has null percentiles.  The built-in aggregate keeps the distinct values
+    of a group in one task's memory, so it serves small groups only.
     """
     by = key_list(by)
-    values = df.select(*by, exact.cents(amount).alias("__ordinal")).where(F.col("__ordinal").isNotNull())
+    if _groups_fit(df, by, window_rows):
+        built_in = [exact.half_up(F.percentile(amount, fraction), digits).alias(name)
+                    for name, fraction in percents.items()]
+        return df.groupBy(*by).agg(*built_in)
+    values = df.select(*by, exact.cents(amount).alias("__ordinal"))
     runs = value_runs(values, by, "__ordinal", bits)
     last = F.col("before") + F.col("run_rows") - 1
 

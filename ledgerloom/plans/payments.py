@@ -617,8 +617,13 @@ def completed_against_all(t: Tables) -> DataFrame:
     return quality.dataset_diff(only_completed, everything, ["customer_id"])
 
 
-@query("dataset_diff_salted_against_plain", "customer_id", """
-    SELECT CAST(NULL AS bigint) AS customer_id, CAST(NULL AS varchar) AS difference FROM orders WHERE false""")
+@query("dataset_diff_salted_against_plain", "customer_id", f"""
+    WITH owned AS (SELECT CASE WHEN o_orderstatus = 'F' THEN 1 ELSE o_custkey END AS customer_id, * FROM orders),
+    parts AS (SELECT customer_id, o_orderpriority, {sql_money("o_totalprice")} AS part FROM owned GROUP BY ALL),
+    salted AS (SELECT customer_id, {sql_money("part")} AS total FROM parts GROUP BY 1),
+    plain AS (SELECT customer_id, {sql_money("o_totalprice")} AS total FROM owned GROUP BY 1)
+    SELECT customer_id, 'changed' AS difference FROM salted FULL JOIN plain USING (customer_id)
+    WHERE (abs(salted.total - plain.total) <= 0.01) IS NOT TRUE""")
 def salted_against_plain(t: Tables) -> DataFrame:
     salted = skew.salted_aggregate(t.skewed_orders, "customer_id", "total_amount", ["order_id"], 10)
     plain = aggregates.money_by_key(t.skewed_orders, "customer_id", "total_amount", "total_revenue")
