@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import exact
 from ledgerloom.functions.matching import broadcast_if_small, key_list
-from ledgerloom.session import ensure_checkpoint_dir
+from ledgerloom.session import checkpointed
 
 STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash")
 
@@ -57,7 +57,10 @@ def share_of_total(groups: DataFrame, everything: DataFrame, amount: Column | st
 
 
 def above_group_mean(totals: DataFrame, by: str, measure: str, mean_name: str) -> DataFrame:
-    """Rows whose measure exceeds the rounded mean of their group, with that mean."""
+    """Rows whose measure exceeds the rounded mean of their group, with that mean.
+
+    ``totals`` is read twice.
+    """
     means = totals.groupBy(by).agg(exact.half_up(exact.money_mean(measure), 2).alias(mean_name))
     return totals.join(means, by).where(F.col(measure) > F.col(mean_name))
 
@@ -141,8 +144,7 @@ def co_occurrence(df: DataFrame, basket: str, item: str, n: int, narrow: int = 2
     if not has_wide:
         return listed.withColumnRenamed("listed", score).orderBy(F.desc(score), first, second).limit(n)
 
-    ensure_checkpoint_dir(df.sparkSession)
-    listed = listed.checkpoint()
+    listed = checkpointed(listed)
     wide_lines = (
         lines.join(wide_keys, basket, "left_semi").groupBy(basket, item).agg(F.count(F.lit(1)).alias("copies"))
     )

@@ -11,7 +11,7 @@ from pyspark.sql.types import StringType
 
 from ledgerloom.functions import exact
 from ledgerloom.functions.matching import key_list, null_safe_join
-from ledgerloom.operators.ranking import BUCKET_BITS, value_runs
+from ledgerloom.operators.ranking import BUCKET_BITS, groups_fit, value_runs
 
 MAX_ARRAY = 1_000_000
 
@@ -25,14 +25,19 @@ def collect_sorted(df: DataFrame, by: str, amount: str, name: str, max_length: i
     order gives the whole array.  No task holds more of a group than one slice.
     """
     rows = df.select(by, amount)
+    if groups_fit(rows, [by], max_length):
+        return _whole_arrays(rows, by, amount, name)
     large = rows.groupBy(by).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_length).select(by)
-    small = null_safe_join(rows, large, by, "left_anti")
-    whole = small.groupBy(by).agg(F.array_sort(F.collect_list(amount)).alias(name)).select(
-        by, F.lit(0).cast("long").alias("slice"), name)
+    whole = _whole_arrays(null_safe_join(rows, large, by, "left_anti"), by, amount, name)
     sliced = _sliced_arrays(null_safe_join(rows, large, by, "left_semi"), by, amount, name, max_length, bits)
     return whole.unionByName(sliced)
 
 
+def _whole_arrays(rows: DataFrame, by: str, amount: str, name: str) -> DataFrame:
+    arrays = rows.groupBy(by).agg(F.array_sort(F.collect_list(amount)).alias(name))
+    return arrays.select(by, F.lit(0).cast("long").alias("slice"), name)
+
+
 def _sliced_arrays(rows: DataFrame, by: str, amount: str, name: str, max_length: int, bits: int) -> DataFrame:
     """Sorted arrays of large groups, built from value runs and the positions they take."""
     runs = value_runs(rows.select(by, exact.cents(amount).alias("__ordinal")), by, "__ordinal", bits)
@@ -123,7 +128,7 @@ def classify(df: DataFrame, amount: str, bands: Sequence[tuple[str, float]], low
 
         label = F.pandas_udf(label_batch, StringType())(F.col(amount))
     elif implementation == "python":
-        def label_one(value: float | None) -> str | None:
+        def label_one(value):
             if value is None:
                 return None
             return next((band for band, floor in bands if value >= floor), lowest)

@@ -73,7 +73,7 @@ def value_runs(df: DataFrame, by: str | Sequence[str], ordinal: str, bits: int =
     )
 
 
-def _groups_fit(df: DataFrame, by: Sequence[str], rows: int) -> bool:
+def groups_fit(df: DataFrame, by: Sequence[str], rows: int) -> bool:
     """Whether no group has more than ``rows`` rows; one number comes to the driver."""
     largest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
     return (largest or 0) <= rows
@@ -89,7 +89,7 @@ def percent_rank_by(df: DataFrame, by: str | Sequence[str], amount: str, digits:
     """``percent_rank`` of a money column within the group, on every row."""
     by = key_list(by)
     rows = _with_ordinal(df, amount)
-    if _groups_fit(df, by, window_rows):
+    if groups_fit(df, by, window_rows):
         place = F.percent_rank().over(Window.partitionBy(*by).orderBy("__ordinal"))
         return rows.withColumn(name, exact.half_up(place, digits)).drop("__ordinal")
     runs = value_runs(rows.select(*by, "__ordinal"), by, "__ordinal", bits)
@@ -125,7 +125,7 @@ def ntile_by(df: DataFrame, by: str | Sequence[str], amount: str, key: str, n: i
     """
     by = key_list(by)
     rows = _with_ordinal(df, amount)
-    if _groups_fit(df, by, window_rows):
+    if groups_fit(df, by, window_rows):
         tile = F.ntile(n).over(Window.partitionBy(*by).orderBy("__ordinal", key))
         return rows.withColumn(name, tile.cast("long")).drop("__ordinal")
     keyed = rows.select(*by, "__ordinal", F.col(key).alias("__row_key"))
@@ -176,10 +176,10 @@ def percentiles_by(df: DataFrame, by: str | Sequence[str], amount: Column | str,
     of a group in one task's memory, so it serves small groups only.
     """
     by = key_list(by)
-    if _groups_fit(df, by, window_rows):
-        built_in = [exact.half_up(F.percentile(amount, fraction), digits).alias(name)
-                    for name, fraction in percents.items()]
-        return df.groupBy(*by).agg(*built_in)
+    if groups_fit(df, by, window_rows):
+        found = df.groupBy(*by).agg(F.percentile(amount, list(percents.values())).alias("__found"))
+        return found.select(*by, *[
+            exact.half_up(F.col("__found")[i], digits).alias(name) for i, name in enumerate(percents)])
     values = df.select(*by, exact.cents(amount).alias("__ordinal"))
     runs = value_runs(values, by, "__ordinal", bits)
     last = F.col("before") + F.col("run_rows") - 1

@@ -51,19 +51,22 @@ def calendar_fill(df: DataFrame, day: str, kept: Column, amount: Column | str, p
                   count_name: str = "txn_count", name: str = "total_amount") -> DataFrame:
     """Monthly count and total of the kept rows, with zeros for empty months.
 
-    The calendar spans all rows, kept or not.  One pass over the data gives both the span and the
-    totals.
+    The calendar spans all rows, kept or not.  Each month found is followed by the empty months up to
+    the next one, so the data is read once and nothing is joined.
     """
     month = F.trunc(day, "MM")
-    months = df.groupBy(month.alias(period_name)).agg(
-        F.count(F.when(kept, 1)).alias(count_name), exact.money_sum(F.when(kept, exact.as_column(amount))).alias(name)
+    months = df.where(F.col(day).isNotNull()).groupBy(month.alias("__month")).agg(
+        F.count(F.when(kept, 1)).alias("__count"), exact.money_sum(F.when(kept, exact.as_column(amount))).alias("__sum")
     )
-    span = months.agg(F.min(period_name).alias("first"), F.max(period_name).alias("last")).where("first IS NOT NULL")
-    calendar = span.select(F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 MONTH"))).alias(period_name))
-    return calendar.join(months, period_name, "left").select(
+    following = F.lead("__month").over(Window.orderBy("__month"))
+    until = F.coalesce(F.add_months(following, -1), F.col("__month"))
+    filled = months.withColumn("__until", until).withColumn(
+        period_name, F.explode(F.sequence("__month", "__until", F.expr("INTERVAL 1 MONTH"))))
+    here = F.col(period_name) == F.col("__month")
+    return filled.select(
         period_name,
-        F.coalesce(count_name, F.lit(0)).cast("long").alias(count_name),
-        F.coalesce(name, F.lit(0.0)).alias(name),
+        F.when(here, F.col("__count")).otherwise(0).alias(count_name),
+        F.coalesce(F.when(here, F.col("__sum")), F.lit(0.0)).alias(name),
     )
 
 

@@ -178,7 +178,7 @@ def bought_together(t: Tables) -> DataFrame:
 def bought_from_both(t: Tables) -> DataFrame:
     wanted = ["SMALL", "ECONOMY"]
     goods = t.products.where(F.col("category").isin(*wanted)).select("product_id", "category")
-    bought = t.lines.select("order_id", "product_id").join(goods, "product_id").select("order_id", "category").distinct()
+    bought = t.lines.select("order_id", "product_id").join(goods, "product_id").select("order_id", "category")
     owners = bought.join(t.orders.select("order_id", "customer_id"), "order_id")
     both = joins.in_all_sets(owners, "customer_id", "category", wanted)
     return both.join(t.customers.select("customer_id", "name"), "customer_id")

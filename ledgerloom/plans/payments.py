@@ -9,6 +9,7 @@ from ledgerloom.operators import aggregates, joins, quality, ranking, reshape, s
 from ledgerloom.operators.layout import hash_layout, partition_statistics
 from ledgerloom.plans.bindings import ACCOUNT_ACTIVE, TXN_COMPLETED, TXN_CREDIT, TXN_DEBIT, Tables
 from ledgerloom.plans.registry import query, sql_money, sql_round
+from ledgerloom.session import checkpointed
 from ledgerloom.sources import load_tables, row_counts
 
 STATUSES = ("F", "O", "P")
@@ -271,6 +272,7 @@ def merchants_above_category_mean(t: Tables) -> DataFrame:
     stats = aggregates.finish(
         _per_merchant(t, t.completed).withColumnRenamed("name", "merchant_name"),
         ["merchant_id", "merchant_name", "mcc_category"], "total_revenue", "txn_count")
+    stats = checkpointed(stats)  # one row per merchant, so that the transactions are read once
     return sets.ratio_to_group_mean(
         stats, "mcc_category", "total_revenue", "avg_category_revenue", "revenue_vs_avg"
     ).select("merchant_id", "merchant_name", "mcc_category", "total_revenue", "txn_count", "avg_category_revenue",
@@ -489,13 +491,11 @@ def users_with_large_txn(t: Tables) -> DataFrame:
     JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey
     JOIN nation ON s_nationkey = n_nationkey WHERE c_mktsegment = 'MACHINERY' AND l_returnflag = 'N'""")
 def categories_of_both_tiers(t: Tables) -> DataFrame:
-    def categories(tier: str) -> DataFrame:
-        chosen = t.users.where(F.col("tier") == tier).select("user_id")
-        owned = joins.with_match(t.accounts.select("account_id", "user_id"), chosen, "user_id")
-        used = joins.with_match(t.completed, owned, "account_id").select("merchant_id").distinct()
-        return used.join(t.merchants, "merchant_id").select("mcc_category")
-
-    return sets.common_values(categories("BUILDING"), categories("MACHINERY"))
+    tiers = ["BUILDING", "MACHINERY"]
+    chosen = t.users.where(F.col("tier").isin(*tiers)).select("user_id", "tier")
+    owners = t.accounts.select("account_id", "user_id").join(chosen, "user_id").select("account_id", "tier")
+    used = t.completed.join(owners, "account_id").select("merchant_id", "tier").distinct()
+    return joins.in_all_sets(used.join(t.merchants, "merchant_id"), "mcc_category", "tier", tiers)
 
 
 @query("payments_7_3_brands_of_both_types", "brand", """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -28,11 +28,23 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster, or a scratch one where none is set."""
+    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+
+    A local session without one gets a scratch folder.  On a cluster that would be a folder of one
+    machine, so there it is an error.
+    """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="ledgerloom-checkpoint-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows written to the checkpoint folder, for a costly result that is used more than once."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
