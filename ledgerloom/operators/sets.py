@@ -51,6 +51,9 @@ def ratio_to_group_mean(totals: DataFrame, by: str, measure: str, mean_name: str
 
 
 def above_mean_multiple(totals: DataFrame, measure: str, factor: float) -> DataFrame:
-    """Rows whose measure exceeds ``factor`` times the unrounded mean over all rows."""
+    """Rows whose measure exceeds ``factor`` times the unrounded mean over all rows.
+
+    ``totals`` is read twice.
+    """
     mean = totals.agg(exact.money_mean(measure)).scalar()
     return totals.where(F.col(measure) > mean * factor)

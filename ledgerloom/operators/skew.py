@@ -11,7 +11,7 @@ from ledgerloom.functions import exact
 from ledgerloom.functions.matching import key_list, null_safe_join
 from ledgerloom.operators.layout import partition_statistics
 
-HEAVY_SHARE = 0.005
+HEAVY_SHARE = 0.00001
 HEAVY_MIN_ROWS = 1_000_000
 
 
@@ -19,8 +19,8 @@ def heavy_keys(df: DataFrame, keys: str | Sequence[str], share: float = HEAVY_SH
                min_rows: int = HEAVY_MIN_ROWS) -> DataFrame:
     """Keys holding more than ``share`` of all rows and more than ``min_rows`` rows.
 
-    There are fewer than ``1 / share`` of them whatever the data, so the result can be broadcast.
-    The counts combine map-side; only the key columns are read.
+    There are fewer than ``1 / share`` of them whatever the data (100 000 by default, a few megabytes),
+    so the result can be broadcast.  The counts combine map-side; only the key columns are read.
     """
     keys = key_list(keys)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("heavy_rows"))

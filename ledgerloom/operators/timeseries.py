@@ -110,12 +110,16 @@ def streaks(df: DataFrame, key: str, day: str, min_length: int) -> DataFrame:
 
 
 def anomalies(periods: DataFrame, count_name: str, k: float) -> DataFrame:
-    """Periods whose count exceeds the rounded mean plus ``k`` rounded sample deviations."""
-    mean = periods.agg(exact.half_up(F.sum(count_name) / F.count(count_name), 2)).scalar()
-    deviation = periods.agg(exact.half_up(F.stddev_samp(count_name), 2)).scalar()
+    """Periods whose count exceeds the rounded mean plus ``k`` rounded sample deviations.
+
+    The input has one row per calendar period, so the statistics come from a window over all of them
+    and the data behind the periods is read once.
+    """
+    every = Window.partitionBy()
+    mean = F.sum(count_name).over(every) / F.count(count_name).over(every)
     return (
-        periods.withColumn(f"mean_{count_name}", mean)
-        .withColumn(f"std_{count_name}", deviation)
+        periods.withColumn(f"mean_{count_name}", exact.half_up(mean, 2))
+        .withColumn(f"std_{count_name}", exact.half_up(F.stddev_samp(count_name).over(every), 2))
         .where(F.col(count_name) > F.col(f"mean_{count_name}") + k * F.col(f"std_{count_name}"))
     )
 

@@ -303,6 +303,7 @@ def high_value_users(t: Tables) -> DataFrame:
     per_account = aggregates.totals_by_key(t.txns, "account_id", "amount", when=_is_debit() & _is_completed())
     totals = aggregates.finish(
         aggregates.roll_up(per_account, active, "account_id", "user_id"), "user_id", "total_debit", "txn_count")
+    totals = checkpointed(totals)  # one row per user, so that the transactions are read once
     high = sets.above_mean_multiple(totals, "total_debit", 2)
     return high.join(t.users, "user_id").select("user_id", "name", "tier", "country", "txn_count", "total_debit")
 
