@@ -104,18 +104,23 @@ def _pairs_of_arrays(lines: DataFrame, basket: str, item: str, first: str, secon
     return heads.select(first, F.explode(rest).alias(second)).where(F.col(first) < F.col(second))
 
 
-def _pairs_by_join(lines: DataFrame, basket: str, item: str, first: str, second: str, count: str) -> DataFrame:
-    """Pairs and their counts from lines reduced to (basket, item, copies)."""
-    left = lines.select(basket, F.col(item).alias(first), F.col("copies").alias("copies_1"))
-    right = lines.select(basket, F.col(item).alias(second), F.col("copies").alias("copies_2"))
+def _pairs_by_join(heads: DataFrame, tails: DataFrame, basket: str, first: str, second: str, kept: Column,
+                   count: str) -> DataFrame:
+    """Pairs and their counts from lines reduced to (basket, item, copies, weight)."""
     return (
-        left.join(right, basket)
-        .where(F.col(first) < F.col(second))
+        heads.toDF(basket, first, "copies_1", "weight_1")
+        .join(tails.toDF(basket, second, "copies_2", "weight_2"), basket)
+        .where((F.col(first) < F.col(second)) & kept)
         .groupBy(first, second)
         .agg(F.sum(F.col("copies_1") * F.col("copies_2")).alias(count))
     )
 
 
+def _attainable(weight: Column | str, other: Column | str) -> Column:
+    """The largest count two items of these weights can have together (Cauchy-Schwarz)."""
+    return F.floor(F.sqrt(weight) * F.sqrt(other) * (1 + 1e-9))
+
+
 def co_occurrence(df: DataFrame, basket: str, item: str, n: int, narrow: int = 200,
                   names: Sequence[str] = ("product_id_1", "product_id_2", "times_bought_together")) -> DataFrame:
     """The ``n`` item pairs found together most often, ties broken by the pair.
@@ -123,13 +128,14 @@ def co_occurrence(df: DataFrame, basket: str, item: str, n: int, narrow: int = 2
     Baskets of at most ``narrow`` lines have their pairs listed, from an array of that length at most.
     Wider baskets, if there are any, are counted without listing all their pairs:
 
-    * the ``n``-th best count among listed pairs is a floor that every pair of the answer must reach;
     * in wide baskets an item has a weight (squares of its multiplicities, added up), and a pair's
-      count there is at most the geometric mean of its two weights.  Listed pairs that could still
-      reach the floor get their exact wide count by lookup;
-    * a pair found in wide baskets only is listed if both its items have the weight to reach the floor.
+      count there is at most the geometric mean of its two weights;
+    * the best listed pairs, and the best pairs among the heaviest items, give a last place that every
+      pair of the answer must match or beat;
+    * listed pairs that could still do so get their exact wide count by lookup, and pairs found in wide
+      baskets only are listed if their weights allow it.
 
-    The listed pairs are used several times in that case, so they are checkpointed.
+    Listed pairs and wide lines are used several times in that case, so they are checkpointed.
     """
     first, second, score = names
     lines = df.select(basket, item).where(F.col(basket).isNotNull() & F.col(item).isNotNull())
@@ -139,40 +145,62 @@ def co_occurrence(df: DataFrame, basket: str, item: str, n: int, narrow: int = 2
     listed = (
         _pairs_of_arrays(narrow_lines, basket, item, first, second)
         .groupBy(first, second)
-        .agg(F.count(F.lit(1)).alias("listed"))
+        .agg(F.count(F.lit(1)).alias(score))
     )
+    places = [F.desc(score), F.asc(first), F.asc(second)]
     if not has_wide:
-        return listed.withColumnRenamed("listed", score).orderBy(F.desc(score), first, second).limit(n)
+        return listed.orderBy(*places).limit(n)
 
     listed = checkpointed(listed)
-    wide_lines = (
+    copies = (
         lines.join(wide_keys, basket, "left_semi").groupBy(basket, item).agg(F.count(F.lit(1)).alias("copies"))
     )
-    best = listed.orderBy(F.desc("listed"), first, second).limit(n)
-    floor = best.agg(F.when(F.count(F.lit(1)) == n, F.min("listed")).otherwise(F.lit(1))).scalar()
-    weights = wide_lines.groupBy(item).agg(F.sum(F.col("copies") * F.col("copies")).alias("weight"))
+    copies = checkpointed(copies)
+    weights = copies.groupBy(item).agg(F.sum(F.col("copies").cast("double") * F.col("copies")).alias("weight"))
+    wide = copies.join(weights, item).select(basket, item, "copies", "weight")
+
+    # The last place: n pairs are known to reach at least this count, and to come before this pair.
+    sample = F.broadcast(weights.orderBy(F.desc("weight"), F.asc(item)).limit(2 * n + 50).select(item))
+    among = wide.join(sample, item, "left_semi").select(basket, item, "copies", "weight")
+    known = (
+        _pairs_by_join(among, among, basket, first, second, F.lit(True), score).orderBy(*places).limit(n)
+        .unionByName(listed.orderBy(*places).limit(n))
+        .groupBy(first, second).agg(F.max(score).alias(score))
+        .orderBy(*places).limit(n)
+    )
+    place = F.struct((-F.col(score)).alias("negated"), F.col(first).alias("item"), F.col(second).alias("other"))
+    last = known.agg(F.when(F.count(F.lit(1)) == n, F.max(place)).alias("place"))
+    floor = last.select(F.coalesce(-F.col("place.negated"), F.lit(1))).scalar()
+    last_item = last.select("place.item").scalar()
     heaviest = weights.agg(F.max("weight")).scalar()
 
+    def beats_last(count: Column, head: Column) -> Column:
+        tie = (count == floor) & F.coalesce(head <= last_item, F.lit(True))
+        return (count > floor) | tie
+
+    zero = F.lit(0.0)
+    reach = _attainable(F.coalesce("weight_1", zero), F.coalesce("weight_2", zero))
     open_pairs = (
-        listed.join(weights.select(F.col(item).alias(first), F.col("weight").alias("weight_1")), first, "left")
-        .join(weights.select(F.col(item).alias(second), F.col("weight").alias("weight_2")), second, "left")
-        .withColumn("reach", F.coalesce(F.sqrt(F.col("weight_1").cast("double") * F.col("weight_2")), F.lit(0.0)))
-        .where(F.col("listed") + F.ceil("reach") >= floor)
-        .select(first, second, "listed", "reach")
+        listed.join(weights.toDF(first, "weight_1"), first, "left")
+        .join(weights.toDF(second, "weight_2"), second, "left")
+        .withColumn("reach", reach)
+        .where(beats_last(F.col(score) + F.col("reach"), F.col(first)))
+        .select(first, second, score, "reach")
     )
     looked_up = (
         open_pairs.where(F.col("reach") > 0)
         .select(first, second)
-        .join(wide_lines.select(basket, F.col(item).alias(first), F.col("copies").alias("copies_1")), first)
-        .join(wide_lines.select(basket, F.col(item).alias(second), F.col("copies").alias("copies_2")), [basket, second])
+        .join(copies.select(basket, F.col(item).alias(first), F.col("copies").alias("copies_1")), first)
+        .join(copies.select(basket, F.col(item).alias(second), F.col("copies").alias("copies_2")), [basket, second])
         .groupBy(first, second)
         .agg(F.sum(F.col("copies_1") * F.col("copies_2")).alias("extra"))
     )
     counted = open_pairs.join(looked_up, [first, second], "left").select(
-        first, second, (F.col("listed") + F.coalesce("extra", F.lit(0))).alias(score))
+        first, second, (F.col(score) + F.coalesce("extra", F.lit(0))).alias(score))
 
-    able = weights.where(F.sqrt(F.col("weight").cast("double") * heaviest) >= floor - 0.5).select(item)
+    at_best = _attainable("weight", heaviest)
     wide_only = _pairs_by_join(
-        wide_lines.join(able, item, "left_semi"), basket, item, first, second, score
+        wide.where(beats_last(at_best, F.col(item))), wide.where(at_best >= floor), basket, first, second,
+        beats_last(_attainable("weight_1", "weight_2"), F.col(first)), score,
     ).join(listed.select(first, second), [first, second], "left_anti")
-    return counted.unionByName(wide_only).orderBy(F.desc(score), first, second).limit(n)
+    return counted.unionByName(wide_only).orderBy(*places).limit(n)
