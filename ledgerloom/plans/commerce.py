@@ -426,17 +426,17 @@ def sessions(t: Tables) -> DataFrame:
     return history.sessionize(rows, "customer_id", history.day_number("order_date"), SESSION_GAP_DAYS)
 
 
-@query("commerce_8_1_event_sessions", "account_id ts txn_id", """
+@query("commerce_8_1_event_sessions", "account_id session_id txn_id", """
     WITH marked AS (
       SELECT user_id AS account_id, event_id AS txn_id, ts,
              lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous FROM events)
-    SELECT account_id, txn_id, ts,
+    SELECT account_id, txn_id,
            cast(sum(CASE WHEN previous IS NULL OR ts - previous > INTERVAL 24 HOUR THEN 1 ELSE 0 END)
                 OVER (PARTITION BY account_id ORDER BY ts, txn_id ROWS UNBOUNDED PRECEDING) AS bigint) AS session_id
     FROM marked""")
 def event_sessions(t: Tables) -> DataFrame:
     rows = t.activity.select("account_id", "txn_id", "ts")
-    return history.sessionize(rows, "account_id", history.micro_number("ts"), history.DAY_MICROS)
+    return history.sessionize(rows, "account_id", history.micro_number("ts"), history.DAY_MICROS).drop("ts")
 
 
 @query("commerce_8_2_session_summary", "customer_id session_id", f"""
