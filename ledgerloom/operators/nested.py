@@ -11,7 +11,8 @@ from pyspark.sql.types import StringType
 
 from ledgerloom.functions import exact
 from ledgerloom.functions.matching import key_list, null_safe_join
-from ledgerloom.operators.ranking import BUCKET_BITS, groups_fit, value_runs
+from ledgerloom.operators.ranking import BUCKET_BITS, value_runs
+from ledgerloom.operators.skew import groups_fit
 
 MAX_ARRAY = 1_000_000
 

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import exact
 from ledgerloom.functions.matching import key_list, null_safe_join
+from ledgerloom.operators.skew import groups_fit
 
 BUCKET_BITS = 20
 LOWEST = -(1 << 63)
@@ -73,12 +74,6 @@ def value_runs(df: DataFrame, by: str | Sequence[str], ordinal: str, bits: int =
     )
 
 
-def groups_fit(df: DataFrame, by: Sequence[str], rows: int) -> bool:
-    """Whether no group has more than ``rows`` rows; one number comes to the driver."""
-    largest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return (largest or 0) <= rows
-
-
 def _with_ordinal(df: DataFrame, amount: Column | str) -> DataFrame:
     """Nulls order first, as in an ascending window."""
     return df.withColumn("__ordinal", F.coalesce(exact.cents(amount), F.lit(LOWEST)))

@@ -11,10 +11,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from ledgerloom.functions import exact
 from ledgerloom.functions.matching import key_list
-from ledgerloom.operators.skew import HEAVY_MIN_ROWS, HEAVY_SHARE, heavy_keys
+from ledgerloom.operators.skew import HEAVY_MIN_ROWS, HEAVY_SHARE, groups_fit, heavy_keys
 
 SEGMENT_BITS = 20
 
@@ -143,8 +144,15 @@ def _segmented(df: DataFrame, key: str, day: str, row_id: str, share: float, min
 def running_balance(df: DataFrame, key: str, day: str, row_id: str, amount: Column, name: str = "running_balance",
                     share: float = HEAVY_SHARE, min_rows: int = HEAVY_MIN_ROWS,
                     bits: int = SEGMENT_BITS) -> DataFrame:
-    """Cumulative signed amount per key in (day, row id) order; ``row_id`` is a unique ``long``."""
-    rows = _segmented(df.withColumn("__cents", exact.cents(amount)), key, day, row_id, share, min_rows, bits)
+    """Cumulative signed amount per key in (day, row id) order; ``row_id`` is a unique ``long``.
+
+    While no key has more than ``min_rows`` rows this is one ordinary window.
+    """
+    valued = df.withColumn("__cents", exact.cents(amount))
+    if groups_fit(df, [key], min_rows):
+        whole = Window.partitionBy(key).orderBy(day, row_id).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return valued.withColumn(name, exact.from_cents(F.sum("__cents").over(whole))).drop("__cents")
+    rows = _segmented(valued, key, day, row_id, share, min_rows, bits)
     segment = [key, "__day", "__slot"]
     inside = (
         Window.partitionBy(*segment).orderBy(day, row_id).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -174,6 +182,13 @@ def moving_mean(df: DataFrame, key: str, day: str, row_id: str, amount: str, row
     segment are enough for that: of their sequence, the ``rows - 1`` entries before a segment's first
     entry are copied into it, take part in the frame, and are then removed.
     """
+    def mean_over(window: WindowSpec) -> Column:
+        frame = window.orderBy(day, row_id).rowsBetween(-(rows - 1), Window.currentRow)
+        total = exact.from_cents(F.sum(exact.cents(amount)).over(frame))
+        return exact.half_up(F.try_divide(total, F.count(amount).over(frame)), 2)
+
+    if groups_fit(df, [key], min_rows):
+        return df.withColumn(name, mean_over(Window.partitionBy(key)))
     tagged = _segmented(df, key, day, row_id, share, min_rows, bits).withColumn("__copy", F.lit(False))
     segment = [key, "__day", "__slot"]
     everything = tagged
@@ -200,7 +215,5 @@ def moving_mean(df: DataFrame, key: str, day: str, row_id: str, amount: str, row
             .select(*tagged.columns)
         )
         everything = tagged.unionByName(copies)
-    frame = Window.partitionBy(*segment).orderBy(day, row_id).rowsBetween(-(rows - 1), Window.currentRow)
-    total = exact.from_cents(F.sum(exact.cents(amount)).over(frame))
-    mean = exact.half_up(F.try_divide(total, F.count(amount).over(frame)), 2)
-    return everything.withColumn(name, mean).where(~F.col("__copy")).select(*df.columns, name)
+    found = everything.withColumn(name, mean_over(Window.partitionBy(*segment)))
+    return found.where(~F.col("__copy")).select(*df.columns, name)

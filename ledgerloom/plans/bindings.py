@@ -43,6 +43,15 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return load_table(self.spark, self.folder, name)
 
+    def register_views(self, prefix: str = "") -> None:
+        """Temporary views of the business tables, for queries written as SQL text."""
+        named = {
+            "customers": self.customers, "products": self.products, "orders": self.orders, "order_items": self.lines,
+            "users": self.users, "merchants": self.merchants, "accounts": self.accounts, "transactions": self.txns,
+        }
+        for name, table in named.items():
+            table.createOrReplaceTempView(prefix + name)
+
     # Commerce: customers, products, orders, order lines.
 
     @cached_property
