@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import mixing, sharding
+from ledgerloom.llm import mixing, packing, sharding, token_counts
 from ledgerloom.llm.shared import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,16 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
 
 
+@_register
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(documents(spark, folder))
+
+
+@_register
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, folder).select("doc_id", "text"))
+
+
 @_register
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shard_rows(documents(spark, folder))
