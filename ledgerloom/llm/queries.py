@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import mixing, packing, sharding, token_counts
+from ledgerloom.llm import mixing, packing, personal_data, quality, sharding, token_counts
 from ledgerloom.llm.shared import documents
+from ledgerloom.sources.tables import load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {"op1_mixing": mixing.ORACLE}
@@ -39,3 +40,15 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shard_rows(documents(spark, folder))
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+@_register
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    ratios = quality.log_ratios(quality.trusted_documents(docs, load_table(spark, folder, "labels")), docs)
+    return quality.judge_quality(docs, ratios)
+
+
+@_register
+def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data.find_personal_data(documents(spark, folder).select("doc_id", "text"))
