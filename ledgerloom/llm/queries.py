@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import mixing, packing, personal_data, quality, sharding, token_counts
+from ledgerloom.llm import language_id, mixing, packing, personal_data, quality, sharding, token_counts
 from ledgerloom.llm.shared import documents
 from ledgerloom.sources.tables import load_table
 
@@ -42,6 +42,14 @@ def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+@_register
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    model = language_id.fit(language_id.training_sample(docs))
+    rows = docs.select("doc_id", "text", language_id.held_out(F.col("doc_id")).alias("held_out"))
+    return language_id.predict_language(rows, model)
+
+
 @_register
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
