@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import language_id, mixing, packing, personal_data, quality, sharding, token_counts
+from ledgerloom.llm import language_id, licenses, mixing, packing, personal_data, quality, sharding, token_counts
 from ledgerloom.llm.shared import documents
 from ledgerloom.sources.tables import load_table
 
@@ -60,3 +60,8 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @_register
 def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data.find_personal_data(documents(spark, folder).select("doc_id", "text"))
+
+
+@_register
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan_licenses(documents(spark, folder).select("doc_id", "text")).drop("text")
