@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import language_id, licenses, mixing, packing, personal_data, quality, sharding, token_counts
+from ledgerloom.llm import language_id, licenses, mixing, packing, personal_data, quality, sharding, token_counts, vector_search
 from ledgerloom.llm.shared import documents
 from ledgerloom.sources.tables import load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op1_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op1_mixing": mixing.ORACLE, "op7_top_k_search": vector_search.ORACLE}
 
 
 def _register(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -65,3 +65,9 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 @_register
 def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(documents(spark, folder).select("doc_id", "text")).drop("text")
+
+
+@_register
+def op7_top_k_search(spark: SparkSession, folder: str) -> DataFrame:
+    table = load_table(spark, folder, "embeddings")
+    return vector_search.top_k(table, table.where(F.col("vec_id") % 50 == 0))
