@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import language_id, licenses, mixing, packing, personal_data, quality, sharding, token_counts, vector_search
+from ledgerloom.llm import language_id, licenses, mixing, ngram_join, packing, personal_data, quality, sharding, token_counts, vector_search
 from ledgerloom.llm.shared import documents
 from ledgerloom.sources.tables import load_table
 
@@ -71,3 +71,8 @@ def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op7_top_k_search(spark: SparkSession, folder: str) -> DataFrame:
     table = load_table(spark, folder, "embeddings")
     return vector_search.top_k(table, table.where(F.col("vec_id") % 50 == 0))
+
+
+@_register
+def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join_documents(documents(spark, folder))
