@@ -7,20 +7,46 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import mixing
+from ledgerloom.llm import mixing, ngram_join, packing, personal_data, quality
 from ledgerloom.llm.shared import documents
 from ledgerloom.session import ensure_checkpoint_dir
+from ledgerloom.sources.tables import load_table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality rules: documents that fail them go."""
+    trusted = quality.trusted_documents(docs, load_table(spark, sf_dir, "labels"))
+    return quality.kept_documents(docs, quality.log_ratios(trusted, docs))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: of each group of linked documents the one of lowest id stays."""
+    return ngram_join.one_of_each_group(docs, percent=80, size=5)
+
+
+def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data: every span found is replaced by its kind."""
+    return personal_data.redact(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing: each source brought to its target, documents repeated or cut as it asks."""
     return mixing.mixed_documents(docs)
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packing: the pieces of documents in sequences of fixed length."""
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", keep_quality),
+    ("near_copies", drop_near_copies),
+    ("personal_data", hide_personal_data),
     ("mixing", mix_sources),
+    ("packing", pack_sequences),
 ]
 
 #: No SQL: hashed statistics, transitive groups and a tokenizer are beyond it.  Tests use brute force.

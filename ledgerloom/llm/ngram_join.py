@@ -36,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from ledgerloom.llm.components import components
 from ledgerloom.llm.shared import checkpointed, stored
@@ -144,15 +145,19 @@ def _field_of(ids: DataFrame) -> bytes:
     return field.tobytes()
 
 
+def _in_field(field: bytes, places: pa.Array) -> np.ndarray:
+    places = np.asarray(places).astype(np.int64)
+    return (np.frombuffer(field, np.uint64)[places // 64] >> (places % 64).astype(np.uint64) & np.uint64(1)).astype(bool)
+
+
 def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """``node, n, all`` of the wanted ``node, id``: only texts whose id is in the bit field are shingled."""
     field = _field_of(wanted)
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, shingler = np.frombuffer(field, np.uint64), Shingler(size)
+        shingler = Shingler(size)
         for batch in batches:
-            place = np.asarray(batch.column(1)).astype(np.int64)
-            hit = np.flatnonzero(bits[place // 64] >> (place % 64).astype(np.uint64) & np.uint64(1))
+            hit = np.flatnonzero(_in_field(field, batch.column(1)))
             for low in range(0, len(hit), 256):
                 sets = [shingler(t) for t in batch.column(0).take(pa.array(hit[low:low + 256])).to_pylist()]
                 yield pa.record_batch([pa.array([shingler.fingerprint(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), _lists(sets)], names=["node", "n", "all"])
@@ -305,8 +310,22 @@ def join_documents(
 def one_of_each_group(docs: DataFrame, row_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents without those that are linked, in one or more steps, with one of lower id.
 
-    Of rows with equal ids all stay or all go.
+    Of rows with equal id and text one stays.  A bit field of the ids in question lets all other rows
+    pass where they are; only those that it names are shuffled to be looked up.
     """
-    joined = join_documents(docs, row_id, text, **options)
-    gone = joined.where(F.col(row_id) != F.col("component_id")).select(F.col(row_id).alias("__gone")).distinct()
-    return docs.join(gone, docs[row_id] == F.col("__gone"), "leftanti")
+    joined = stored(join_documents(docs, row_id, text, **options).select(F.col(row_id).alias("id"), "component_id"), "joined")
+    gone = joined.where(F.col("id") != F.col("component_id")).select("id").distinct()
+    repeated = joined.groupBy("id").count().where("count > 1").select("id")
+    field = _field_of(gone.union(repeated))
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.record_batch([*batch.columns[1:], pa.array(_in_field(field, batch.column(0)))], names=[*batch.schema.names[1:], "__named"])
+
+    names = [f"__c{k}" for k in range(len(docs.columns))]
+    place = F.pmod(F.xxhash64(docs[row_id]), F.lit(FIELD_BITS))
+    schema = StructType([StructField(n, docs.schema[c].dataType) for n, c in zip(names, docs.columns)] + [StructField("__named", BooleanType())])
+    rows = docs.select(place.alias("place"), *[docs[c].alias(n) for n, c in zip(names, docs.columns)]).mapInArrow(named, schema)
+    key, content = (names[docs.columns.index(c)] for c in (row_id, text))
+    looked_up = rows.where("__named").join(gone, F.col(key) == F.col("id"), "leftanti").dropDuplicates([key, content])
+    return rows.where(~F.col("__named")).union(looked_up).drop("__named").withColumnsRenamed(dict(zip(names, docs.columns)))

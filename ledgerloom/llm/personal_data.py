@@ -20,6 +20,7 @@ from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
 from ledgerloom.llm.text_maps import map_texts
@@ -166,5 +167,8 @@ def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows with every span replaced by its kind in brackets; ``text`` becomes the last column."""
-    return map_texts(docs, text, [StructField(text, StringType())], _redacting)
+    """The rows with every span replaced by its kind in brackets; ``n_chars`` follows if there is one."""
+    hidden = map_texts(docs, text, [StructField(text, StringType())], _redacting)
+    if "n_chars" in docs.columns:
+        hidden = hidden.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
+    return hidden.select(*docs.columns)
