@@ -1,8 +1,9 @@
 """Quality rules: hashed n-gram likelihood ratio of trusted text against the whole corpus.
 
 Character trigrams are hashed into a fixed number of buckets.  Two multinomials over the buckets are
-counted over all their documents: one over the whole corpus, one over the documents that labels call
-good and not toxic.  A document's score is the mean, over its trigrams, of the logarithm of the
+counted: one over the whole corpus, one over trusted documents, which labels call good and not toxic.
+The trusted side is fitted on a sample of labelled rows of bounded size (``MOST_TRUSTED``), so that its
+ids can be sent to all tasks and no text is shuffled.  A document's score is the mean, over its trigrams, of the logarithm of the
 ratio of the two (smoothed) probabilities, so that it does not depend on the length.  Every document
 is held against one fixed threshold.  Base rules on word counts and repetition come first.
 
@@ -30,6 +31,8 @@ BUCKETS = 1 << 16
 SMOOTHING = 1.0
 #: The lowest mean log ratio that is kept.
 THRESHOLD = -0.75
+#: The bound of the labelled sample: about so many trusted documents, chosen by a hash of their ids.
+MOST_TRUSTED = 20_000
 FEWEST_WORDS = 10
 MOST_REPEATED = 20  # percent of the words
 WINDOW = 5
@@ -90,9 +93,12 @@ def bucket_counts(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(text).mapInArrow(counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
-def trusted_documents(docs: DataFrame, labels: DataFrame, row_id: str = "doc_id") -> DataFrame:
-    good = labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select(F.col("doc_id").alias("__good"))
-    return docs.join(good, docs[row_id] == F.col("__good"), "leftsemi")
+def trusted_documents(docs: DataFrame, labels: DataFrame, row_id: str = "doc_id", most: int = MOST_TRUSTED) -> DataFrame:
+    """The documents of about ``most`` labels that are good and not toxic, or of all if there are fewer."""
+    good = labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__good"))
+    draw = F.shiftrightunsigned(F.xxhash64("__good", F.lit("trusted sample")), 11) / F.lit(float(1 << 53))
+    sample = good.where(draw < most / max(good.count(), 1))
+    return docs.join(F.broadcast(sample), docs[row_id] == F.col("__good"), "leftsemi")
 
 
 def log_ratios(trusted: DataFrame, corpus: DataFrame, text: str = "text") -> np.ndarray:
