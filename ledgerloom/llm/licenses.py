@@ -25,6 +25,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.shared import without
+
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 THRESHOLD = 0.9
 
@@ -108,7 +110,7 @@ def scan_licenses(
     templates = TEMPLATES if templates is None else templates
     if any(re.sub("[a-z0-9 ]", "", t) or not t.strip() for t in templates):
         raise ValueError("templates are lower-case words with blanks between them")
-    rows = docs.withColumn("__words", words(F.col(text)))
+    rows = without(docs, "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score").withColumn("__words", words(F.col(text)))
     frequencies = document_frequencies(rows, templates)
     names = list(templates)
     found = rows.withColumns(

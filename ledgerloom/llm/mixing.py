@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import WORD, cell_totals, checkpointed, hash_key, prefix_sums, word_count
+from ledgerloom.llm.shared import WORD, cell_totals, checkpointed, hash_key, prefix_sums, without, word_count
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -71,7 +71,7 @@ def mix(
     source add up to the whole part of its target.  The order inside a source depends on ids only,
     so that a second run takes the same.
     """
-    rows = docs.withColumns({
+    rows = without(docs, "size", "source_size", "target", "epochs", "rest", "taken").withColumns({
         "size": word_count(F.col(text)),
         "__source": F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n")),
         "__key": hash_key(row_id),

@@ -158,7 +158,12 @@ def _reporting() -> Callable[[list[str | None]], list[pa.Array]]:
 
 
 def _redacting() -> Callable[[list[str | None]], list[pa.Array]]:
-    return lambda texts: [pa.array([redacted(t, find_spans(t)) if t else t for t in texts], pa.string())]
+    def hide(text: str | None) -> str | None:
+        while text and (spans := find_spans(text)):  # what is left around a span may form another
+            text = redacted(text, spans)
+        return text
+
+    return lambda texts: [pa.array(map(hide, texts), pa.string())]
 
 
 def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:

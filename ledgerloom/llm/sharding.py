@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import cell_totals, checkpointed, hash_key, prefix_sums
+from ledgerloom.llm.shared import cell_totals, checkpointed, hash_key, prefix_sums, without
 
 SHARDS = 24
 #: Bytes a row needs besides its text.
@@ -49,7 +49,7 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, row_id: str = "doc_id", te
     cells of the shard, so that no shard is numbered by one task.
     """
     plain = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.withColumns({
+    rows = without(docs, "size", "text_crc32", "law", "shard", "slot", "grown_shard").withColumns({
         "size": F.octet_length(plain).cast("long") + F.lit(ROW_BYTES),
         "text_crc32": F.crc32(plain.cast("binary")),
         "law": F.lit("key"),

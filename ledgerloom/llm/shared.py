@@ -20,16 +20,34 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/documents.parquet")
 
 
+def without(rows: DataFrame, *names: str) -> DataFrame:
+    """The rows without columns of these names in any case: a result takes the place of such a column."""
+    taken = {n.lower() for n in names}
+    return rows.drop(*[c for c in rows.columns if c.lower() in taken])
+
+
 def stored(rows: DataFrame, label: str) -> DataFrame:
     """The rows written as Parquet below the shared checkpoint folder, and read again.
 
     Cuts the lineage like ``checkpoint()``, but keeps columns apart and compressed.  The files stay
-    until the checkpoint folder is cleared, because the caller's result may read them at any time.
+    until ``discard`` or until the checkpoint folder is cleared, because the caller's result may read
+    them at any time.  Shuffle files behind the rows are no longer needed; Spark removes them when the
+    driver's JVM collects its garbage, which is asked for here.
     """
     spark = rows.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     rows.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    table = spark.read.schema(rows.schema).parquet(path)
+    table._stored_at = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Deletes the files of a ``stored`` table that nothing will read any more."""
+    context = table.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(table._stored_at)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def checkpointed(rows: DataFrame) -> DataFrame:

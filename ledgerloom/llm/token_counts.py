@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from ledgerloom.llm.shared import without
+
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
 #: Characters in a chunk, and in a line of texts worked on at once (a longer text is one line).
@@ -297,7 +299,7 @@ def count_tokens(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULA
 
     A map over the partitions: no shuffle, and a long text is one row of its batch.
     """
-    others = [c for c in docs.columns if c != text]
+    others = [c for c in without(docs, text, "n_bytes", "n_tokens", "over_limit").columns]
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = text_counter(vocabulary)
