@@ -154,27 +154,26 @@ def search_pages(
     query: np.ndarray, query_id: int, least: float, parent: np.ndarray, ids: list[np.ndarray], vectors: list[np.ndarray],
     distances: list[np.ndarray], centres: np.ndarray, radii: np.ndarray, to_parent: np.ndarray, k: int,
 ) -> list[tuple[int, int]]:
-    """The best ``(score, -vec_id)`` of a group that reach ``least``, by best-first search."""
+    """The best ``(score, -vec_id)`` of a group that reach ``least``, by best-first search.
+
+    The bound by the parent's centre needs one product for all pages; only pages that it lets through
+    have their own product worked out.  Pages are then opened in the order of their own bounds.
+    """
     norm = float(np.sqrt(query @ query))
     wide = SLACK * (1 + norm * (float(np.abs(parent).sum()) + float(to_parent.max(initial=0)) + float(radii.max(initial=0))))
-    first = float(query @ parent) + norm * (to_parent + radii) + wide
-    # A heap of the pages by their bounds; the flag tells whether the bound is by the page's own centre.
-    heap = [(-first[i], 0, int(i)) for i in np.flatnonzero(first >= least)]
-    heapq.heapify(heap)
+    by_parent = float(query @ parent) + norm * (to_parent + radii) + wide
+    pages = np.flatnonzero(by_parent >= least)
+    products = centres[pages] @ query
+    bounds = products + norm * radii[pages] + wide
     best: list[tuple[int, int]] = []
-    while heap:
-        bound, own, page = heapq.heappop(heap)
-        if -bound < least:
+    for at in np.argsort(-bounds):
+        if bounds[at] < least:
             break
-        product = int(query @ centres[page])
-        if not own:
-            tight = product + norm * radii[page] + wide
-            if tight >= least:
-                heapq.heappush(heap, (-tight, 1, page))
-            continue
-        near = np.flatnonzero((product + norm * distances[page] + wide >= least) & (ids[page] != query_id))
+        page = pages[at]
+        near = np.flatnonzero((distances[page] >= (least - wide - products[at]) / norm) if norm else distances[page] >= 0)
         scores = vectors[page][near] @ query
-        for score, vec_id in zip(scores.tolist(), ids[page][near].tolist()):
+        good = np.flatnonzero((scores >= least) & (ids[page][near] != query_id))
+        for score, vec_id in zip(scores[good].tolist(), ids[page][near[good]].tolist()):
             if len(best) < k:
                 heapq.heappush(best, (score, -vec_id))
             elif (score, -vec_id) > best[0]:
