@@ -24,10 +24,14 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
     return left.join(renamed, condition, how).drop(*[f"__match_{key}" for key in keys])
 
 
-def broadcast_if_small(table: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """A broadcast hint, given only after counting the rows.
+def size_estimate(table: DataFrame) -> int:
+    """Spark's own estimate of a table's bytes, from its plan and file sizes; no job runs."""
+    return int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-    A larger table is returned without a hint, so that the join shuffles (or Spark broadcasts it on
-    its own size check).  The count reads no columns of a Parquet table, only its footers.
-    """
-    return F.broadcast(table) if table.count() <= max_rows else table
+
+def bounded_broadcast(table: DataFrame, max_bytes: int) -> DataFrame:
+    """A broadcast hint, refused with an error if Spark's size estimate exceeds ``max_bytes``."""
+    size = size_estimate(table)
+    if size > max_bytes:
+        raise ValueError(f"a broadcast of {size} bytes exceeds the limit of {max_bytes}")
+    return F.broadcast(table)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import exact
-from ledgerloom.functions.matching import broadcast_if_small, key_list
+from ledgerloom.functions.matching import key_list
 
 
 def totals_by_key(fact: DataFrame, keys: str | Sequence[str], amount: Column | str,
@@ -144,18 +144,18 @@ def nested_summary(users: DataFrame, accounts: DataFrame, txns: DataFrame, by: s
 
 
 def star_aggregate(lines: DataFrame, orders: DataFrame, products: DataFrame, customers: DataFrame,
-                   amount: Column | str, max_broadcast_rows: int = 200_000) -> DataFrame:
+                   amount: Column | str) -> DataFrame:
     """Revenue and line count by product category and customer tier.
 
-    Customers meet the orders, which are the smaller fact, before the one join of the two facts.
-    Each dimension is broadcast when its row count allows, and shuffled otherwise.
+    Lines are totalled per (order, category) before they meet the orders, so that a hot order crosses
+    the shuffle as a few rows per task.  Which side of a join is broadcast is left to Spark's byte
+    threshold.
     """
-    tiers = broadcast_if_small(customers.select("customer_id", "tier"), max_broadcast_rows)
-    categories = broadcast_if_small(products.select("product_id", "category"), max_broadcast_rows)
-    order_tiers = orders.select("order_id", "customer_id").join(tiers, "customer_id").select("order_id", "tier")
+    categories = products.select("product_id", "category")
+    per_order = totals_by_key(lines.join(categories, "product_id"), ["order_id", "category"], amount)
+    tiers = orders.select("order_id", "customer_id").join(customers.select("customer_id", "tier"), "customer_id")
     return (
-        lines.join(categories, "product_id")
-        .join(order_tiers, "order_id")
+        per_order.join(tiers.select("order_id", "tier"), "order_id")
         .groupBy("category", "tier")
-        .agg(exact.money_sum(amount).alias("total_revenue"), F.count(F.lit(1)).alias("item_count"))
+        .agg(exact.merged_money("amount").alias("total_revenue"), F.sum("row_total").alias("item_count"))
     )

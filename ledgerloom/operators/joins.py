@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import exact
-from ledgerloom.functions.matching import broadcast_if_small, key_list
-from ledgerloom.session import checkpointed
+from ledgerloom.functions.matching import bounded_broadcast, key_list
 
+MAX_BROADCAST = 256 << 20
 STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash")
 
 
@@ -65,20 +65,21 @@ def above_group_mean(totals: DataFrame, by: str, measure: str, mean_name: str) -
     return totals.join(means, by).where(F.col(measure) > F.col(mean_name))
 
 
-def lookup_join(fact: DataFrame, dim: DataFrame, on: str, max_rows: int = 200_000) -> DataFrame:
-    """Inner join to a dimension that is broadcast when its row count is within ``max_rows``."""
-    return fact.join(broadcast_if_small(dim, max_rows), on)
+def lookup_join(fact: DataFrame, dim: DataFrame, on: str) -> DataFrame:
+    """Inner join to a dimension, broadcast when Spark finds it within its byte threshold."""
+    return fact.join(dim, on)
 
 
-def join_with_strategy(left: DataFrame, right: DataFrame, on: str, strategy: str, max_rows: int = 200_000) -> DataFrame:
+def join_with_strategy(left: DataFrame, right: DataFrame, on: str, strategy: str,
+                       max_bytes: int = MAX_BROADCAST) -> DataFrame:
     """Inner join by a named strategy; the rows are the same whichever is used.
 
-    ``broadcast`` is granted only within ``max_rows`` rows and is otherwise planned as ``auto``.
+    ``broadcast`` is an error beyond ``max_bytes``, by Spark's estimate of the right side.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
     if strategy == "broadcast":
-        right = broadcast_if_small(right, max_rows)
+        right = bounded_broadcast(right, max_bytes)
     elif strategy != "auto":
         right = right.hint(strategy)
     return left.join(right, on)
@@ -96,111 +97,36 @@ def as_of_lookup(probe: DataFrame, dim: DataFrame, key: str, at: str, attr: str,
         probe[key], probe[at], F.col(attr).alias(name))
 
 
-def _pairs_of_arrays(lines: DataFrame, basket: str, item: str, first: str, second: str) -> DataFrame:
-    """Row pairs of each basket, the smaller item first, from one sorted array per basket."""
-    arrays = lines.groupBy(basket).agg(F.array_sort(F.collect_list(item)).alias("__items"))
-    heads = arrays.select("__items", F.posexplode("__items").alias("__at", first))
-    rest = F.slice("__items", F.col("__at") + 2, F.size("__items"))
-    return heads.select(first, F.explode(rest).alias(second)).where(F.col(first) < F.col(second))
-
-
-def _pairs_by_join(heads: DataFrame, tails: DataFrame, basket: str, first: str, second: str, kept: Column,
-                   count: str) -> DataFrame:
+def _pair_counts(copies: DataFrame, basket: str, item: str, first: str, second: str, score: str,
+                 kept: Column | None = None) -> DataFrame:
     """Pairs and their counts from lines reduced to (basket, item, copies, weight)."""
-    return (
-        heads.toDF(basket, first, "copies_1", "weight_1")
-        .join(tails.toDF(basket, second, "copies_2", "weight_2"), basket)
-        .where((F.col(first) < F.col(second)) & kept)
-        .groupBy(first, second)
-        .agg(F.sum(F.col("copies_1") * F.col("copies_2")).alias(count))
-    )
-
-
-def _attainable(weight: Column | str, other: Column | str) -> Column:
-    """The largest count two items of these weights can have together (Cauchy-Schwarz)."""
-    return F.floor(F.sqrt(weight) * F.sqrt(other) * (1 + 1e-9))
+    heads = copies.select(basket, F.col(item).alias(first), F.col("copies").alias("copies_1"), F.col("weight").alias("weight_1"))
+    tails = copies.select(basket, F.col(item).alias(second), F.col("copies").alias("copies_2"), F.col("weight").alias("weight_2"))
+    pairs = heads.join(tails, basket).where(F.col(first) < F.col(second))
+    pairs = pairs if kept is None else pairs.where(kept)
+    return pairs.groupBy(first, second).agg(F.sum(F.col("copies_1") * F.col("copies_2")).alias(score))
 
 
-def co_occurrence(df: DataFrame, basket: str, item: str, n: int, narrow: int = 200,
+def co_occurrence(df: DataFrame, basket: str, item: str, n: int,
                   names: Sequence[str] = ("product_id_1", "product_id_2", "times_bought_together")) -> DataFrame:
     """The ``n`` item pairs found together most often, ties broken by the pair.
 
-    Baskets of at most ``narrow`` lines have their pairs listed, from an array of that length at most.
-    Wider baskets, if there are any, are counted without listing all their pairs:
-
-    * in wide baskets an item has a weight (squares of its multiplicities, added up), and a pair's
-      count there is at most the geometric mean of its two weights;
-    * the best listed pairs, and the best pairs among the heaviest items, give a last place that every
-      pair of the answer must match or beat;
-    * listed pairs that could still do so get their exact wide count by lookup, and pairs found in wide
-      baskets only are listed if their weights allow it.
-
-    Listed pairs and wide lines are used several times in that case, so they are checkpointed.
+    An item's weight is the sum of its squared multiplicities over the baskets; a pair's count is at
+    most the geometric mean of its two weights (Cauchy-Schwarz).  The best pairs among the items of
+    most weight give a last place, which every pair of the answer must match or beat.  Only pairs whose
+    weights allow that are formed, in wide and narrow baskets alike.
     """
     first, second, score = names
     lines = df.select(basket, item).where(F.col(basket).isNotNull() & F.col(item).isNotNull())
-    wide_keys = lines.groupBy(basket).agg(F.count(F.lit(1)).alias("width")).where(F.col("width") > narrow).select(basket)
-    has_wide = not wide_keys.isEmpty()
-    narrow_lines = lines.join(wide_keys, basket, "left_anti") if has_wide else lines
-    listed = (
-        _pairs_of_arrays(narrow_lines, basket, item, first, second)
-        .groupBy(first, second)
-        .agg(F.count(F.lit(1)).alias(score))
-    )
-    places = [F.desc(score), F.asc(first), F.asc(second)]
-    if not has_wide:
-        return listed.orderBy(*places).limit(n)
-
-    listed = checkpointed(listed)
-    copies = (
-        lines.join(wide_keys, basket, "left_semi").groupBy(basket, item).agg(F.count(F.lit(1)).alias("copies"))
-    )
-    copies = checkpointed(copies)
+    copies = lines.groupBy(basket, item).agg(F.count(F.lit(1)).alias("copies"))
     weights = copies.groupBy(item).agg(F.sum(F.col("copies").cast("double") * F.col("copies")).alias("weight"))
-    wide = copies.join(weights, item).select(basket, item, "copies", "weight")
-
-    # The last place: n pairs are known to reach at least this count, and to come before this pair.
-    sample = F.broadcast(weights.orderBy(F.desc("weight"), F.asc(item)).limit(2 * n + 50).select(item))
-    among = wide.join(sample, item, "left_semi").select(basket, item, "copies", "weight")
-    known = (
-        _pairs_by_join(among, among, basket, first, second, F.lit(True), score).orderBy(*places).limit(n)
-        .unionByName(listed.orderBy(*places).limit(n))
-        .groupBy(first, second).agg(F.max(score).alias(score))
-        .orderBy(*places).limit(n)
-    )
-    place = F.struct((-F.col(score)).alias("negated"), F.col(first).alias("item"), F.col(second).alias("other"))
-    last = known.agg(F.when(F.count(F.lit(1)) == n, F.max(place)).alias("place"))
-    floor = last.select(F.coalesce(-F.col("place.negated"), F.lit(1))).scalar()
-    last_item = last.select("place.item").scalar()
-    heaviest = weights.agg(F.max("weight")).scalar()
-
-    def beats_last(count: Column, head: Column) -> Column:
-        tie = (count == floor) & F.coalesce(head <= last_item, F.lit(True))
-        return (count > floor) | tie
-
-    zero = F.lit(0.0)
-    reach = _attainable(F.coalesce("weight_1", zero), F.coalesce("weight_2", zero))
-    open_pairs = (
-        listed.join(weights.toDF(first, "weight_1"), first, "left")
-        .join(weights.toDF(second, "weight_2"), second, "left")
-        .withColumn("reach", reach)
-        .where(beats_last(F.col(score) + F.col("reach"), F.col(first)))
-        .select(first, second, score, "reach")
-    )
-    looked_up = (
-        open_pairs.where(F.col("reach") > 0)
-        .select(first, second)
-        .join(copies.select(basket, F.col(item).alias(first), F.col("copies").alias("copies_1")), first)
-        .join(copies.select(basket, F.col(item).alias(second), F.col("copies").alias("copies_2")), [basket, second])
-        .groupBy(first, second)
-        .agg(F.sum(F.col("copies_1") * F.col("copies_2")).alias("extra"))
-    )
-    counted = open_pairs.join(looked_up, [first, second], "left").select(
-        first, second, (F.col(score) + F.coalesce("extra", F.lit(0))).alias(score))
-
-    at_best = _attainable("weight", heaviest)
-    wide_only = _pairs_by_join(
-        wide.where(beats_last(at_best, F.col(item))), wide.where(at_best >= floor), basket, first, second,
-        beats_last(_attainable("weight_1", "weight_2"), F.col(first)), score,
-    ).join(listed.select(first, second), [first, second], "left_anti")
-    return counted.unionByName(wide_only).orderBy(*places).limit(n)
+    places = [F.desc(score), F.asc(first), F.asc(second)]
+    heaviest = F.broadcast(weights.orderBy(F.desc("weight"), F.asc(item)).limit(2 * n + 50))
+    known = _pair_counts(copies.join(heaviest, item), basket, item, first, second, score).orderBy(*places).limit(n)
+    floor = known.agg(F.when(F.count(F.lit(1)) == n, F.min(score)).otherwise(F.lit(1))).scalar()
+    most = weights.agg(F.max("weight")).scalar()
+    slack = 1 + 1e-9
+    able = weights.where(F.sqrt("weight") * F.sqrt(most) * slack >= floor)
+    reaches = F.sqrt("weight_1") * F.sqrt("weight_2") * slack >= floor
+    counted = _pair_counts(copies.join(able, item), basket, item, first, second, score, reaches)
+    return counted.orderBy(*places).limit(n)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import exact
@@ -52,16 +52,48 @@ def range_profile(df: DataFrame, partitions: int, column: str) -> DataFrame:
 
 
 def partition_statistics(df: DataFrame, label: str) -> DataFrame:
-    """Largest and mean partition, and their ratio."""
-    mean = F.sum("row_count") / F.count("row_count")
-    return partition_profile(df).agg(
+    """Largest and mean partition, and their ratio; partitions without rows do not count."""
+    profile = partition_profile(df).select(F.struct("row_count", "partition_id").alias("p"))
+    totals = profile.agg(F.max("p.row_count").alias("largest"), F.sum("p.row_count").alias("rows"), F.count("p").alias("parts"))
+    rows_each = F.col("rows") / F.col("parts")
+    return totals.select(
         F.lit(label).alias("approach"),
-        F.max("row_count").alias("max_partition_rows"),
-        exact.half_up(mean, 0).cast("long").alias("avg_partition_rows"),
-        exact.half_up(F.max("row_count") / mean, 2).alias("hottest_ratio"),
+        F.col("largest").alias("max_partition_rows"),
+        exact.half_up(rows_each, 0).cast("long").alias("avg_partition_rows"),
+        exact.half_up(F.col("largest") * F.col("parts") / F.col("rows"), 2).alias("hottest_ratio"),
     )
 
 
+def layout_facts(df: DataFrame, key: str | None = None, within: float | None = None) -> DataFrame:
+    """One row of what holds for a layout wherever its rows are placed.
+
+    ``row_total`` and ``partition_total`` (partitions with rows); with ``key``, ``split_keys``: keys found
+    in more than one partition; with ``within``, ``is_level``: the largest partition holds at most so many
+    times the mean.
+    """
+    placed = df.withColumn("__part", F.spark_partition_id())
+    if key is None:
+        cells = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("n"))
+        split = []
+    else:
+        cells = placed.groupBy("__part", F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("n"))
+        homes = cells.groupBy("__key").agg(F.count(F.lit(1)).alias("homes"))
+        split = [homes.agg(F.count_if(F.col("homes") > 1)).scalar().alias("split_keys")]
+        cells = cells.groupBy("__part").agg(F.sum("n").alias("n"))
+    level = [] if within is None else [(F.max("n") <= within * F.sum("n") / F.count("n")).alias("is_level")]
+    facts = cells.agg(F.sum("n").alias("row_total"), F.count("n").alias("partition_total"), *level)
+    return facts.select("*", *split)
+
+
+def range_facts(df: DataFrame, partitions: int, column: str) -> DataFrame:
+    """One row: rows in total, ranges in use, and neighbouring ranges that overlap."""
+    profile = range_profile(df, partitions, column)
+    later = F.lead("min_amount").over(Window.orderBy("partition_id"))
+    return profile.withColumn("overlaps", later < F.col("max_amount")).agg(
+        F.sum("row_count").alias("row_total"), F.count(F.lit(1)).alias("partition_total"),
+        F.count_if("overlaps").alias("overlapping_ranges"))
+
+
 def aggregate_with_partitions(df: DataFrame, by: str, amount: Column | str, partitions: int,
                               name: str = "total_revenue") -> DataFrame:
     """Total per group, delivered in exactly ``partitions`` partitions.

@@ -10,53 +10,37 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ledgerloom.functions import exact
-from ledgerloom.functions.matching import key_list, null_safe_join
-from ledgerloom.operators.ranking import BUCKET_BITS, value_runs
-from ledgerloom.operators.skew import groups_fit
+from ledgerloom.functions.matching import key_list
+from ledgerloom.functions.positions import DIGIT_BITS, ordinal
+from ledgerloom.operators.ranking import value_runs
 
 MAX_ARRAY = 1_000_000
 
 
 def collect_sorted(df: DataFrame, by: str, amount: str, name: str, max_length: int = MAX_ARRAY,
-                   bits: int = BUCKET_BITS) -> DataFrame:
-    """``by, slice, NAME``: the group's amounts as ascending arrays of at most ``max_length``.
+                   bits: int = DIGIT_BITS) -> DataFrame:
+    """``by, slice, NAME``: the group's stored amounts, ascending, in arrays of at most ``max_length``.
 
-    A group of up to ``max_length`` rows is one row with slice 0.  A larger one comes as several rows:
-    slice ``k`` holds the values in positions ``k * max_length`` and up, so concatenating the slices in
-    order gives the whole array.  No task holds more of a group than one slice.
+    Slice ``k`` holds the values in positions ``k * max_length`` and up, so concatenating the slices in
+    order gives the whole array.  No task holds more of a group than one slice.  Nulls are left out; a
+    group of nulls only has one empty slice.
     """
-    rows = df.select(by, amount)
-    if groups_fit(rows, [by], max_length):
-        return _whole_arrays(rows, by, amount, name)
-    large = rows.groupBy(by).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_length).select(by)
-    whole = _whole_arrays(null_safe_join(rows, large, by, "left_anti"), by, amount, name)
-    sliced = _sliced_arrays(null_safe_join(rows, large, by, "left_semi"), by, amount, name, max_length, bits)
-    return whole.unionByName(sliced)
-
-
-def _whole_arrays(rows: DataFrame, by: str, amount: str, name: str) -> DataFrame:
-    arrays = rows.groupBy(by).agg(F.array_sort(F.collect_list(amount)).alias(name))
-    return arrays.select(by, F.lit(0).cast("long").alias("slice"), name)
-
-
-def _sliced_arrays(rows: DataFrame, by: str, amount: str, name: str, max_length: int, bits: int) -> DataFrame:
-    """Sorted arrays of large groups, built from value runs and the positions they take."""
-    runs = value_runs(rows.select(by, exact.cents(amount).alias("__ordinal")), by, "__ordinal", bits)
+    values = df.select(by, F.col(amount).alias("__value")).withColumn("__ordinal", ordinal("__value"))
+    runs = value_runs(values, by, "__ordinal", bits, "__value")
     end = F.col("before") + F.col("run_rows")
     first_slice = F.floor(F.col("before") / max_length)
     last_slice = F.greatest(first_slice, F.floor((end - 1) / max_length))
-    pieces = runs.select(
-        by, "__ordinal", "before", end.alias("end"), F.explode(F.sequence(first_slice, last_slice)).alias("slice")
+    pieces = runs.where("run_rows > 0 OR group_rows = 0").select(
+        by, "__ordinal", "__value", "before", end.alias("end"), F.explode(F.sequence(first_slice, last_slice)).alias("slice")
     ).select(
-        by, "slice", "__ordinal",
+        by, "slice", "__ordinal", "__value",
         (F.least("end", (F.col("slice") + 1) * max_length)
          - F.greatest("before", F.col("slice") * max_length)).cast("int").alias("copies"),
     )
     sliced = pieces.groupBy(by, "slice").agg(
-        F.array_sort(F.collect_list(F.struct("__ordinal", "copies"))).alias("runs"))
-    values = F.flatten(F.transform(
-        "runs", lambda run: F.array_repeat(exact.from_cents(run["__ordinal"]), run["copies"])))
-    return sliced.select(by, "slice", values.alias(name))
+        F.array_sort(F.collect_list(F.struct("__ordinal", "__value", "copies"))).alias("runs"))
+    whole = F.flatten(F.transform("runs", lambda run: F.array_repeat(run["__value"], run["copies"])))
+    return sliced.select(by, "slice", whole.alias(name))
 
 
 def array_stats(arrays: DataFrame, by: str | Sequence[str], array: str, threshold: float) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -95,6 +95,33 @@ def dataset_diff(actual: DataFrame, expected: DataFrame, keys: Sequence[str], to
     )
 
 
+def diff_summary(actual: DataFrame, expected: DataFrame, keys: Sequence[str], tolerance: float = 0.01) -> DataFrame:
+    """One row: ``compared_keys``, the keys of either side, and ``differing_keys``."""
+    keys = list(keys)
+    compared = actual.select(*keys).union(expected.select(*keys)).distinct().agg(F.count(F.lit(1)).alias("compared_keys"))
+    differing = dataset_diff(actual, expected, keys, tolerance).agg(F.count(F.lit(1))).scalar()
+    return compared.select("compared_keys", differing.alias("differing_keys"))
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """The rows numbered from 0 in the order they come in.
+
+    Rows are counted per partition, one number each, and a partition starts where the ones before it
+    end.  ``df`` must come in the same order each time, as a sorted frame does.
+    """
+    local = df.withColumns({"__part": F.spark_partition_id(), "__at": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)})
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = local.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    starts = starts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    return local.join(F.broadcast(starts), "__part").withColumn(name, F.col("__start") + F.col("__at")).drop("__part", "__at", "__start")
+
+
+def ordered_diff(actual: DataFrame, expected: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    """Places at which two ordered results differ: ``position, difference``, as in ``dataset_diff``."""
+    position = "position"
+    return dataset_diff(numbered(actual, position), numbered(expected, position), [position], tolerance)
+
+
 def multiset_diff(actual: DataFrame, expected: DataFrame) -> DataFrame:
     """Rows of either table without an equal counterpart in the other, duplicates counted."""
     problems = schema_differences(actual, expected)

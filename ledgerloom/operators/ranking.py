@@ -1,18 +1,11 @@
 """Ranks, quantiles and picks within groups.
 
 Groups such as an order status hold an unbounded share of the rows, so a window over the raw rows of a
-group would run in one task.  Positions are found instead from the *runs* of a group (one row per
-distinct value, with its row count), laid out in buckets of neighbouring values:
+group would run in one task.  Positions are found from the *runs* of a group instead: one row per
+distinct value, with its row count, so that a hot value is collapsed map-side.  The rows before a run
+are counted digit by digit (``functions.positions``), so that no window is longer than a digit.
 
-* a run collapses all rows with the same value map-side, so a hot value is one row;
-* a bucket holds at most ``2**BUCKET_BITS`` distinct values, so a window over one is bounded;
-* the number of rows before a bucket comes from a window over bucket totals.
-
-Where every group is small, an ordinary window is cheaper; the operators count the largest group
-first, and take the window up to ``WINDOW_ROWS`` rows.  The results are the same.
-
-Values are ordered through an *ordinal*: a ``long`` that maps one-to-one and in order to the value
-(cents for money, days for dates).
+Values are compared as stored, through a ``long`` that ascends with them (``positions.ordinal``).
 """
 
 from __future__ import annotations
@@ -24,11 +17,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import exact
 from ledgerloom.functions.matching import key_list, null_safe_join
-from ledgerloom.operators.skew import groups_fit
+from ledgerloom.functions.positions import DIGIT_BITS, long_digits, ordinal, with_sums_before
 
-BUCKET_BITS = 20
 LOWEST = -(1 << 63)
-WINDOW_ROWS = 2_000_000
 
 _RANKS = {"row_number": F.row_number, "dense": F.dense_rank, "rank": F.rank}
 
@@ -45,48 +36,31 @@ def top_n_per_group(df: DataFrame, by: str | Sequence[str], order: Sequence[Colu
     return ranked.withColumn(name, F.col(name).cast("long"))
 
 
-def value_runs(df: DataFrame, by: str | Sequence[str], ordinal: str, bits: int = BUCKET_BITS) -> DataFrame:
+def value_runs(df: DataFrame, by: str | Sequence[str], ordinal: str, bits: int = DIGIT_BITS,
+               value: str | None = None) -> DataFrame:
     """``by, ordinal, run_rows, group_rows, before``: one row per distinct ordinal of a group.
 
     ``before`` counts the rows of the group with a smaller ordinal.  Null ordinals form a run of no
-    rows, so that a group holding nothing else is still present.
+    rows, so that a group holding nothing else is still present.  ``value`` adds that column, which has
+    one value per ordinal.
     """
-    by = key_list(by)
-    runs = (
-        df.groupBy(*by, ordinal)
-        .agg(F.count(ordinal).alias("run_rows"))
-        .withColumn("__bucket", F.shiftright(ordinal, bits))
-    )
-    ladder = Window.partitionBy(*by).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bucket_before = F.coalesce(F.sum("bucket_rows").over(ladder), F.lit(0))
-    buckets = (
-        runs.groupBy(*by, "__bucket")
-        .agg(F.sum("run_rows").alias("bucket_rows"))
-        .select(
-            *by, "__bucket", bucket_before.alias("bucket_before"),
-            F.sum("bucket_rows").over(Window.partitionBy(*by)).alias("group_rows"),
-        )
-    )
-    inside = Window.partitionBy(*by, "__bucket").orderBy(ordinal).rowsBetween(Window.unboundedPreceding, -1)
-    local = runs.withColumn("__inside", F.coalesce(F.sum("run_rows").over(inside), F.lit(0)))
-    return null_safe_join(local, buckets, [*by, "__bucket"]).select(
-        *by, ordinal, "run_rows", "group_rows", (F.col("bucket_before") + F.col("__inside")).alias("before")
-    )
+    by, kept = key_list(by), [value] if value else []
+    runs = df.groupBy(*by, ordinal).agg(F.count(ordinal).alias("run_rows"), *[F.max(v).alias(v) for v in kept])
+    placed = with_sums_before(runs, by, long_digits(ordinal, "value", bits), [ordinal], {"before": F.col("run_rows")})
+    groups = runs.groupBy(*by).agg(F.sum("run_rows").alias("group_rows"))
+    return null_safe_join(placed, groups, by).select(*by, ordinal, "run_rows", "group_rows", "before", *kept)
 
 
 def _with_ordinal(df: DataFrame, amount: Column | str) -> DataFrame:
     """Nulls order first, as in an ascending window."""
-    return df.withColumn("__ordinal", F.coalesce(exact.cents(amount), F.lit(LOWEST)))
+    return df.withColumn("__ordinal", F.coalesce(ordinal(amount), F.lit(LOWEST)))
 
 
 def percent_rank_by(df: DataFrame, by: str | Sequence[str], amount: str, digits: int = 4,
-                    name: str = "pct_rank", window_rows: int = WINDOW_ROWS, bits: int = BUCKET_BITS) -> DataFrame:
-    """``percent_rank`` of a money column within the group, on every row."""
+                    name: str = "pct_rank", bits: int = DIGIT_BITS) -> DataFrame:
+    """``percent_rank`` of a numeric column within the group, on every row."""
     by = key_list(by)
     rows = _with_ordinal(df, amount)
-    if groups_fit(df, by, window_rows):
-        place = F.percent_rank().over(Window.partitionBy(*by).orderBy("__ordinal"))
-        return rows.withColumn(name, exact.half_up(place, digits)).drop("__ordinal")
     runs = value_runs(rows.select(*by, "__ordinal"), by, "__ordinal", bits)
     share = F.when(F.col("group_rows") > 1, F.col("before") / (F.col("group_rows") - 1)).otherwise(F.lit(0.0))
     ranks = runs.select(*by, "__ordinal", exact.half_up(share, digits).alias(name))
@@ -111,42 +85,26 @@ def _tile_starts(n: int) -> Column:
 
 
 def ntile_by(df: DataFrame, by: str | Sequence[str], amount: str, key: str, n: int, name: str = "tile",
-             window_rows: int = WINDOW_ROWS, bits: int = BUCKET_BITS) -> DataFrame:
+             bits: int = DIGIT_BITS) -> DataFrame:
     """``ntile(n)`` over (amount, key) within the group; ``key`` is a unique ``long``.
 
-    Only the first row of each tile has to be located: first the run it lies in, then the slot of
-    ``2**bits`` neighbouring keys of that run, then the row.  Every row finds its tile by comparing
-    itself with the ``n - 1`` first rows of its group, without being moved or sorted.
+    Only the first row of each tile has to be located: first the run it lies in, then its place by key
+    among the rows of that run.  Every row finds its tile by comparing itself with the ``n - 1`` first
+    rows of its group, without being moved or sorted.
     """
     by = key_list(by)
     rows = _with_ordinal(df, amount)
-    if groups_fit(df, by, window_rows):
-        tile = F.ntile(n).over(Window.partitionBy(*by).orderBy("__ordinal", key))
-        return rows.withColumn(name, tile.cast("long")).drop("__ordinal")
     keyed = rows.select(*by, "__ordinal", F.col(key).alias("__row_key"))
     starts = (
         value_runs(keyed, by, "__ordinal", bits)
-        .select(*by, "__ordinal", _tile_starts(n).alias("__starts"))
-        .where(F.col("__starts").isNotNull())
-    )
-    slot = [*by, "__ordinal", "__slot"]
-    near = null_safe_join(keyed, starts, [*by, "__ordinal"]).withColumn("__slot", F.shiftright("__row_key", bits))
-    ladder = Window.partitionBy(*by, "__ordinal").orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
-    picked = (
-        near.groupBy(*slot)
-        .agg(F.count(F.lit(1)).alias("slot_rows"), F.any_value("__starts").alias("__starts"))
-        .withColumn("slot_before", F.coalesce(F.sum("slot_rows").over(ladder), F.lit(0)))
-        .select(*slot, "slot_rows", "slot_before", F.explode("__starts").alias("__start"))
-        .withColumn("__skip", F.col("__start.skip") - F.col("slot_before"))
-        .where((F.col("__skip") >= 0) & (F.col("__skip") < F.col("slot_rows")))
-        .groupBy(*slot)
-        .agg(F.collect_list("__skip").alias("__skips"))
+        .select(*by, "__ordinal", F.transform(_tile_starts(n), lambda start: start["skip"]).alias("__skips"))
+        .where(F.col("__skips").isNotNull())
     )
-    place = F.row_number().over(Window.partitionBy(*slot).orderBy("__row_key")) - 1
+    near = null_safe_join(keyed, starts, [*by, "__ordinal"])
+    one = F.lit(1).cast("long")
+    placed = with_sums_before(near, [*by, "__ordinal"], long_digits("__row_key", "key", bits), ["__row_key"], {"__place": one})
     cuts = (
-        null_safe_join(near.drop("__starts"), picked, slot)
-        .withColumn("__place", place.cast("long"))
-        .where(F.array_contains("__skips", F.col("__place")))
+        placed.where(F.array_contains("__skips", F.col("__place")))
         .groupBy(*by)
         .agg(F.collect_list(F.struct("__ordinal", "__row_key")).alias("__cuts"))
     )
@@ -164,24 +122,19 @@ def ntile_by(df: DataFrame, by: str | Sequence[str], amount: str, key: str, n: i
 
 
 def percentiles_by(df: DataFrame, by: str | Sequence[str], amount: Column | str, percents: dict[str, float],
-                   digits: int = 2, window_rows: int = WINDOW_ROWS, bits: int = BUCKET_BITS) -> DataFrame:
-    """Exact interpolated percentiles of a money column; ``percents`` maps output name to fraction.
+                   digits: int = 2, bits: int = DIGIT_BITS) -> DataFrame:
+    """Exact interpolated percentiles of a numeric column; ``percents`` maps output name to fraction.
 
-    Nulls are left out, as ``percentile_cont`` does; a group of nulls only has null percentiles.  The built-in aggregate keeps the distinct values
-    of a group in one task's memory, so it serves small groups only.
+    Nulls are left out, as ``percentile_cont`` does; a group of nulls only has null percentiles.
     """
     by = key_list(by)
-    if groups_fit(df, by, window_rows):
-        found = df.groupBy(*by).agg(F.percentile(amount, list(percents.values())).alias("__found"))
-        return found.select(*by, *[
-            exact.half_up(F.col("__found")[i], digits).alias(name) for i, name in enumerate(percents)])
-    values = df.select(*by, exact.cents(amount).alias("__ordinal"))
-    runs = value_runs(values, by, "__ordinal", bits)
+    values = df.select(*by, exact.as_column(amount).cast("double").alias("__value")).withColumn("__ordinal", ordinal("__value"))
+    runs = value_runs(values, by, "__ordinal", bits, "__value")
     last = F.col("before") + F.col("run_rows") - 1
 
     def at(position: Column) -> Column:
         held = (F.col("before") <= position) & (position <= last)
-        return exact.from_cents(F.max(F.when(held, F.col("__ordinal"))))
+        return F.max(F.when(held, F.col("__value")))
 
     picks = []
     for name, fraction in percents.items():
@@ -201,7 +154,10 @@ def percentiles_by(df: DataFrame, by: str | Sequence[str], amount: Column | str,
 
 
 def latest_per_key(df: DataFrame, key: str, order: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """The row with the greatest ``order`` per key, as one aggregate with constant state per key."""
+    """The row with the greatest ``order`` per key, as one aggregate.
+
+    The state per key is one row; a struct makes Spark sort each task's rows by key to keep it.
+    """
     newest = F.max_by(F.struct(*columns), F.struct(*order))
     return df.groupBy(key).agg(newest.alias("__row")).select(key, "__row.*")
 

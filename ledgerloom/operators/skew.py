@@ -20,7 +20,7 @@ def heavy_keys(df: DataFrame, keys: str | Sequence[str], share: float = HEAVY_SH
     """Keys holding more than ``share`` of all rows and more than ``min_rows`` rows.
 
     There are fewer than ``1 / share`` of them whatever the data (100 000 by default, a few megabytes),
-    so the result can be broadcast.  The counts combine map-side; only the key columns are read.
+    so the result can be broadcast.  Only ``salted_join`` uses it, whose rows do not depend on it.  The counts combine map-side; only the key columns are read.
     """
     keys = key_list(keys)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("heavy_rows"))
@@ -28,12 +28,6 @@ def heavy_keys(df: DataFrame, keys: str | Sequence[str], share: float = HEAVY_SH
     return counts.where((F.col("heavy_rows") > min_rows) & (F.col("heavy_rows") > share * everything))
 
 
-def groups_fit(df: DataFrame, by: Sequence[str], rows: int) -> bool:
-    """Whether no group has more than ``rows`` rows; one number comes to the driver."""
-    largest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return (largest or 0) <= rows
-
-
 def row_salt(row_key: Sequence[str], slices: int) -> Column:
     """A slice number from the row's own key: the same after a retry and in any layout."""
     return F.pmod(F.xxhash64(*row_key), F.lit(slices)).cast("int")
@@ -96,8 +90,13 @@ def salted_join(big: DataFrame, small: DataFrame, on: str, row_key: Sequence[str
     return salted.join(repeated, [on, "__salt"], how).drop("__salt")
 
 
+def salted_layout(df: DataFrame, key: str, row_key: Sequence[str], partitions: int, slices: int) -> DataFrame:
+    """Rows placed by key and salt, so that a hot key fills several partitions."""
+    return df.withColumn("__salt", row_salt(row_key, slices)).repartition(partitions, key, "__salt").drop("__salt")
+
+
 def salting_report(df: DataFrame, key: str, row_key: Sequence[str], partitions: int, slices: int) -> DataFrame:
     """Rows per partition before and after salting the partitioning key."""
     plain = df.repartition(partitions, key)
-    salted = df.withColumn("__salt", row_salt(row_key, slices)).repartition(partitions, key, "__salt")
+    salted = salted_layout(df, key, row_key, partitions, slices)
     return partition_statistics(plain, "unsalted").unionByName(partition_statistics(salted, "salted"))

@@ -1,8 +1,9 @@
 """Running, moving and calendar computations.
 
 Windows here run over rows already reduced to calendar periods, whose number does not grow with the
-data.  The two that must work row by row (running balance, moving mean) cut a heavy key into segments
-of bounded size and carry what a segment needs from its predecessors.
+data.  The two that must work row by row (running balance, moving mean) take the sums or the number of
+the rows before a row from ``functions.positions``, day by day and then by ranges of row ids, so that a
+key of any size is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -11,13 +12,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.window import WindowSpec
 
 from ledgerloom.functions import exact
 from ledgerloom.functions.matching import key_list
-from ledgerloom.operators.skew import HEAVY_MIN_ROWS, HEAVY_SHARE, groups_fit, heavy_keys
+from ledgerloom.functions.positions import DIGIT_BITS, long_digits, with_sums_before
 
-SEGMENT_BITS = 20
+SEGMENT_ROWS = 1 << 16
 
 
 def period_totals(df: DataFrame, period: Column, amount: Column | str, period_name: str, name: str,
@@ -125,95 +125,37 @@ def anomalies(periods: DataFrame, count_name: str, k: float) -> DataFrame:
     )
 
 
-def _segmented(df: DataFrame, key: str, day: str, row_id: str, share: float, min_rows: int, bits: int) -> DataFrame:
-    """Mark the rows of heavy keys with a segment (day, slot of row ids); other rows get nulls.
-
-    Within a key, segments follow the order (day, row id), and as row ids are unique a segment holds
-    at most ``2**bits`` rows.  A key that is not heavy is one segment.
-    """
-    heavy = heavy_keys(df.where(F.col(key).isNotNull()), key, share, min_rows)
-    marks = F.broadcast(heavy.select(key, F.lit(True).alias("__hot")))
-    return (
-        df.join(marks, key, "left")
-        .withColumn("__day", F.when(F.col("__hot"), F.col(day)))
-        .withColumn("__slot", F.when(F.col("__hot"), F.shiftright(row_id, bits)))
-        .drop("__hot")
-    )
-
-
 def running_balance(df: DataFrame, key: str, day: str, row_id: str, amount: Column, name: str = "running_balance",
-                    share: float = HEAVY_SHARE, min_rows: int = HEAVY_MIN_ROWS,
-                    bits: int = SEGMENT_BITS) -> DataFrame:
+                    bits: int = DIGIT_BITS) -> DataFrame:
     """Cumulative signed amount per key in (day, row id) order; ``row_id`` is a unique ``long``.
 
-    While no key has more than ``min_rows`` rows this is one ordinary window.
+    Null keys are one key and null days come first.  The balance is null until the first amount.
     """
     valued = df.withColumn("__cents", exact.cents(amount))
-    if groups_fit(df, [key], min_rows):
-        whole = Window.partitionBy(key).orderBy(day, row_id).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return valued.withColumn(name, exact.from_cents(F.sum("__cents").over(whole))).drop("__cents")
-    rows = _segmented(valued, key, day, row_id, share, min_rows, bits)
-    segment = [key, "__day", "__slot"]
-    inside = (
-        Window.partitionBy(*segment).orderBy(day, row_id).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local = rows.withColumn("__local", F.sum("__cents").over(inside))
-    ladder = Window.partitionBy(key).orderBy("__day", "__slot").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        rows.where(F.col("__slot").isNotNull())
-        .groupBy(*segment)
-        .agg(F.sum("__cents").alias("__segment_cents"))
-        .select(*segment, F.sum("__segment_cents").over(ladder).alias("__carried"))
-    )
-    balance = F.when(F.col("__local").isNull() & F.col("__carried").isNull(), None).otherwise(
-        F.coalesce("__local", F.lit(0)) + F.coalesce("__carried", F.lit(0)))
-    return (
-        local.join(carried, segment, "left")
-        .withColumn(name, exact.from_cents(balance))
-        .select(*df.columns, name)
-    )
+    digits = {"__day": F.col(day), **long_digits(row_id, "id", bits)}
+    seen = F.col("__cents").isNotNull().cast("long")
+    placed = with_sums_before(valued, [key], digits, [row_id], {"__carried": F.col("__cents"), "__seen": seen})
+    balance = F.when((F.col("__seen") > 0) | F.col("__cents").isNotNull(), F.col("__carried") + F.coalesce("__cents", F.lit(0)))
+    return placed.withColumn(name, exact.from_cents(balance)).select(*df.columns, name)
 
 
 def moving_mean(df: DataFrame, key: str, day: str, row_id: str, amount: str, rows: int, name: str,
-                share: float = HEAVY_SHARE, min_rows: int = HEAVY_MIN_ROWS, bits: int = SEGMENT_BITS) -> DataFrame:
-    """Mean of the last ``rows`` rows of the key, in (day, row id) order.
+                segment_rows: int = SEGMENT_ROWS, bits: int = DIGIT_BITS) -> DataFrame:
+    """Mean of the last ``rows`` rows of the key, in (day, row id) order; ``row_id`` is a unique ``long``.
 
-    The first rows of a segment look back into earlier segments.  The last ``rows - 1`` rows of each
-    segment are enough for that: of their sequence, the ``rows - 1`` entries before a segment's first
-    entry are copied into it, take part in the frame, and are then removed.
+    Rows are numbered within the key and cut into segments of ``segment_rows``.  The last ``rows - 1``
+    rows of a segment are copied into the next one, take part in its frames, and are then removed.
     """
-    def mean_over(window: WindowSpec) -> Column:
-        frame = window.orderBy(day, row_id).rowsBetween(-(rows - 1), Window.currentRow)
-        total = exact.from_cents(F.sum(exact.cents(amount)).over(frame))
-        return exact.half_up(F.try_divide(total, F.count(amount).over(frame)), 2)
-
-    if groups_fit(df, [key], min_rows):
-        return df.withColumn(name, mean_over(Window.partitionBy(key)))
-    tagged = _segmented(df, key, day, row_id, share, min_rows, bits).withColumn("__copy", F.lit(False))
-    segment = [key, "__day", "__slot"]
-    everything = tagged
-    if rows > 1:
-        from_end = F.row_number().over(Window.partitionBy(*segment).orderBy(F.desc(day), F.desc(row_id)))
-        tails = (
-            tagged.where(F.col("__slot").isNotNull())
-            .withColumn("__from_end", from_end)
-            .where(F.col("__from_end") <= rows - 1)
-            .drop("__from_end")
-        )
-        in_order = Window.partitionBy(key).orderBy(day, row_id)
-        here = F.struct("__day", "__slot")
-        before = F.lag(here).over(in_order)
-        opens = F.when(before.isNull() | (before != here), here)
-        ahead = F.collect_list("__opens").over(in_order.rowsBetween(1, rows - 1))
-        copies = (
-            tails.withColumn("__opens", opens)
-            .withColumn("__targets", ahead)
-            .withColumn("__target", F.explode("__targets"))
-            .withColumn("__day", F.col("__target.__day"))
-            .withColumn("__slot", F.col("__target.__slot"))
-            .withColumn("__copy", F.lit(True))
-            .select(*tagged.columns)
-        )
-        everything = tagged.unionByName(copies)
-    found = everything.withColumn(name, mean_over(Window.partitionBy(*segment)))
-    return found.where(~F.col("__copy")).select(*df.columns, name)
+    if segment_rows < rows:
+        raise ValueError("a segment must hold a frame")
+    digits = {"__day": F.col(day), **long_digits(row_id, "id", bits)}
+    numbered = with_sums_before(df, [key], digits, [row_id], {"__place": F.lit(1).cast("long")})
+    segment, inside = F.floor(F.col("__place") / segment_rows), F.col("__place") % segment_rows
+    own = F.struct(segment.alias("number"), F.lit(False).alias("copy"))
+    carried = F.struct((segment + 1).alias("number"), F.lit(True).alias("copy"))
+    held = F.when(inside >= segment_rows - (rows - 1), F.array(own, carried)).otherwise(F.array(own))
+    everything = numbered.withColumn("__in", F.explode(held))
+    frame = Window.partitionBy(key, "__in.number").orderBy("__place").rowsBetween(-(rows - 1), Window.currentRow)
+    total = exact.from_cents(F.sum(exact.cents(amount)).over(frame))
+    mean = exact.half_up(F.try_divide(total, F.count(amount).over(frame)), 2)
+    return everything.withColumn(name, mean).where(~F.col("__in.copy")).select(*df.columns, name)

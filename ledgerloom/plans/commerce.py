@@ -178,7 +178,7 @@ def bought_together(t: Tables) -> DataFrame:
 def bought_from_both(t: Tables) -> DataFrame:
     wanted = ["SMALL", "ECONOMY"]
     goods = t.products.where(F.col("category").isin(*wanted)).select("product_id", "category")
-    bought = t.lines.select("order_id", "product_id").join(goods, "product_id").select("order_id", "category")
+    bought = t.lines.select("order_id", "product_id").join(goods, "product_id").select("order_id", "category").distinct()
     owners = bought.join(t.orders.select("order_id", "customer_id"), "order_id")
     both = joins.in_all_sets(owners, "customer_id", "category", wanted)
     return both.join(t.customers.select("customer_id", "name"), "customer_id")
@@ -195,13 +195,38 @@ def tier_revenue_share(t: Tables) -> DataFrame:
     return joins.share_of_total(tiers, t.orders, "total_amount", "tier_revenue", "revenue_share_pct")
 
 
-# Partition layout: the placement is the answer, so only 4.4 has an oracle.
+# Partition layout: a placement has no oracle; beside each stand the facts that hold for any placement.
 
 @query("commerce_4_1_even_layout", "partition_id")
 def even_layout(t: Tables) -> DataFrame:
     return layout.partition_profile(layout.spread(t.orders, 4))
 
 
+@query("commerce_4_1_even_layout_facts", "row_total", """
+    SELECT count(*) AS row_total, cast(4 AS bigint) AS partition_total, true AS is_level FROM orders""")
+def even_layout_facts(t: Tables) -> DataFrame:
+    return layout.layout_facts(layout.spread(t.orders, 4), within=1.25)
+
+
+@query("commerce_4_2_key_layout_facts", "row_total", f"""
+    SELECT count(*) AS row_total, cast({PARTITIONS} AS bigint) AS partition_total, cast(0 AS bigint) AS split_keys
+    FROM orders""")
+def key_layout_facts(t: Tables) -> DataFrame:
+    return layout.layout_facts(layout.hash_layout(t.orders, PARTITIONS, "customer_id"), "customer_id")
+
+
+@query("commerce_4_3_shrunk_layout_facts", "row_total", """
+    SELECT count(*) AS row_total, cast(5 AS bigint) AS partition_total, true AS is_level FROM orders""")
+def shrunk_layout_facts(t: Tables) -> DataFrame:
+    return layout.layout_facts(layout.shrink(t.orders, 20, 5), within=1.25)
+
+
+@query("commerce_4_5_range_layout_facts", "row_total", """
+    SELECT count(*) AS row_total, cast(5 AS bigint) AS partition_total, cast(0 AS bigint) AS overlapping_ranges FROM orders""")
+def range_layout_facts(t: Tables) -> DataFrame:
+    return layout.range_facts(t.orders, 5, "total_amount")
+
+
 @query("commerce_4_2_key_layout", "-row_count partition_id")
 def key_layout(t: Tables) -> DataFrame:
     return layout.partition_profile(layout.hash_layout(t.orders, PARTITIONS, "customer_id"))
@@ -272,6 +297,12 @@ def salting_report(t: Tables) -> DataFrame:
     return skew.salting_report(t.skewed_orders, "customer_id", ["order_id"], PARTITIONS, 64)
 
 
+@query("commerce_5_5_salting_facts", "row_total", f"""
+    SELECT count(*) AS row_total, cast({PARTITIONS} AS bigint) AS partition_total, true AS is_level FROM orders""")
+def salting_facts(t: Tables) -> DataFrame:
+    return layout.layout_facts(skew.salted_layout(t.skewed_orders, "customer_id", ["order_id"], PARTITIONS, 64), within=2.0)
+
+
 # Join strategies and adaptive execution
 
 SQL_ORDER_TIERS = """
@@ -342,9 +373,10 @@ SQL_FLAGS = """
 
 
 @query("commerce_7_1_amount_arrays", "customer_id", """
-    SELECT o_custkey AS customer_id, list(o_totalprice ORDER BY o_totalprice) AS amounts FROM orders GROUP BY 1""")
+    SELECT o_custkey AS customer_id, cast(0 AS bigint) AS slice, list(o_totalprice ORDER BY o_totalprice) AS amounts
+    FROM orders GROUP BY 1""")
 def amount_arrays(t: Tables) -> DataFrame:
-    return _amounts(t).select("customer_id", "amounts")
+    return _amounts(t)
 
 
 @query("commerce_7_2_array_stats", "customer_id", SQL_STATS)

@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import aggregates, joins, quality, ranking, reshape, sets, skew, timeseries
-from ledgerloom.operators.layout import hash_layout, partition_statistics
+from ledgerloom.operators.layout import hash_layout, layout_facts, partition_statistics
 from ledgerloom.plans.bindings import ACCOUNT_ACTIVE, TXN_COMPLETED, TXN_CREDIT, TXN_DEBIT, Tables
 from ledgerloom.plans.registry import query, sql_money, sql_round
-from ledgerloom.session import checkpointed
 from ledgerloom.sources import load_tables, row_counts
 
 STATUSES = ("F", "O", "P")
@@ -123,12 +122,14 @@ def running_balance(t: Tables) -> DataFrame:
 
 
 @query("payments_2_2_top_merchants_per_category", "mcc_category revenue_rank merchant_id", f"""
-    WITH totals AS (
-      SELECT s_suppkey AS merchant_id, s_name AS name, n_name AS mcc_category, {sql_money(AMOUNT)} AS total_revenue
-      FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
-      WHERE l_returnflag = 'N' GROUP BY ALL)
-    SELECT *, dense_rank() OVER (PARTITION BY mcc_category ORDER BY total_revenue DESC) AS revenue_rank
-    FROM totals QUALIFY revenue_rank <= 3""")
+    WITH sold AS (SELECT l_suppkey, {sql_money(AMOUNT)} AS revenue FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1),
+    podium AS (
+      SELECT s_nationkey AS nation, list(DISTINCT revenue ORDER BY revenue DESC)[1:3] AS best
+      FROM sold JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1)
+    SELECT s_suppkey AS merchant_id, s_name AS name, n_name AS mcc_category, revenue AS total_revenue,
+           cast(list_position(best, revenue) AS bigint) AS revenue_rank
+    FROM podium JOIN nation ON n_nationkey = nation JOIN supplier ON s_nationkey = nation
+    JOIN sold ON l_suppkey = s_suppkey WHERE list_contains(best, revenue)""")
 def top_merchants_per_category(t: Tables) -> DataFrame:
     totals = aggregates.finish(
         _per_merchant(t, t.completed), ["merchant_id", "name", "mcc_category"], "total_revenue")
@@ -160,19 +161,21 @@ def _user_spend(t: Tables) -> DataFrame:
         ["user_id", "name", "country", "tier"], "total_spend")
 
 
-SQL_USER_SPEND = f"""
-    user_spend AS (
-      SELECT c_custkey AS user_id, c_name AS name, n_name AS country, c_mktsegment AS tier,
-             {sql_money(AMOUNT)} AS total_spend
-      FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-      JOIN nation ON c_nationkey = n_nationkey
-      WHERE l_linestatus = 'F' AND l_returnflag = 'N' GROUP BY ALL)"""
+SQL_SPEND = f"""
+    spend AS (
+      SELECT o_custkey AS buyer, {sql_money(AMOUNT)} AS spent FROM orders
+      JOIN (FROM lineitem WHERE l_linestatus = 'F' AND l_returnflag = 'N') ON l_orderkey = o_orderkey GROUP BY 1)"""
 
 
 @query("payments_2_4_top_users_per_country", "country spend_rank", f"""
-    WITH {SQL_USER_SPEND}
-    SELECT *, row_number() OVER (PARTITION BY country ORDER BY total_spend DESC, user_id) AS spend_rank
-    FROM user_spend QUALIFY spend_rank <= 2""")
+    WITH {SQL_SPEND},
+    leaders AS (
+      SELECT c_nationkey AS nation, list(buyer ORDER BY spent DESC, buyer)[1:2] AS best
+      FROM spend JOIN customer ON c_custkey = buyer GROUP BY 1)
+    SELECT buyer AS user_id, c_name AS name, n_name AS country, c_mktsegment AS tier, spent AS total_spend,
+           cast(list_position(best, buyer) AS bigint) AS spend_rank
+    FROM leaders JOIN nation ON n_nationkey = nation JOIN customer ON c_nationkey = nation
+    JOIN spend ON buyer = c_custkey WHERE list_contains(best, buyer)""")
 def top_users_per_country(t: Tables) -> DataFrame:
     return ranking.top_n_per_group(
         _user_spend(t), "country", [F.desc("total_spend"), "user_id"], 2, "spend_rank")
@@ -228,8 +231,8 @@ def users_without_large_txn(t: Tables) -> DataFrame:
 def revenue_for_two_tiers(t: Tables) -> DataFrame:
     chosen = t.users.where(F.col("tier").isin("BUILDING", "MACHINERY")).select("user_id", "tier")
     owners = t.accounts.select("account_id", "user_id").join(chosen, "user_id").select("account_id", "tier")
-    tiered = t.completed.join(owners, "account_id")
-    totals = aggregates.totals_by_key(tiered, ["merchant_id", "tier"], "amount")
+    per_account = aggregates.totals_by_key(t.completed, ["account_id", "merchant_id"], "amount")
+    totals = aggregates.roll_up(per_account, owners, "account_id", "tier", keep=["merchant_id"])
     rolled = aggregates.roll_up(totals, t.merchants, "merchant_id", "mcc_category", keep=["tier"])
     return aggregates.finish(rolled, ["mcc_category", "tier"], "total_revenue", "txn_count")
 
@@ -244,12 +247,11 @@ def accounts_with_both_types(t: Tables) -> DataFrame:
 
 
 @query("payments_3_5_above_country_mean", "country -total_spend user_id", f"""
-    WITH {SQL_USER_SPEND},
-    means AS (
-      SELECT country, {sql_money("total_spend")} / count(*) AS mean FROM user_spend GROUP BY country),
-    shown AS (SELECT country, {sql_round("mean", 2)} AS country_avg_spend FROM means)
-    SELECT user_id, name, country, total_spend, country_avg_spend
-    FROM user_spend JOIN shown USING (country) WHERE total_spend > country_avg_spend""")
+    WITH {SQL_SPEND}
+    SELECT buyer AS user_id, c_name AS name, n_name AS country, spent AS total_spend,
+           {sql_round("cast(sum(cast(spent AS decimal(18,2))) OVER here AS double) / count(*) OVER here", 2)} AS country_avg_spend
+    FROM spend JOIN customer ON c_custkey = buyer JOIN nation ON n_nationkey = c_nationkey
+    WINDOW here AS (PARTITION BY n_nationkey) QUALIFY total_spend > country_avg_spend""")
 def above_country_mean(t: Tables) -> DataFrame:
     return joins.above_group_mean(_user_spend(t), "country", "total_spend", "country_avg_spend").select(
         "user_id", "name", "country", "total_spend", "country_avg_spend")
@@ -258,21 +260,20 @@ def above_country_mean(t: Tables) -> DataFrame:
 # Named steps
 
 @query("payments_4_1_merchants_above_category_mean", "mcc_category -total_revenue", f"""
-    WITH merchant_stats AS (
-      SELECT s_suppkey AS merchant_id, s_name AS merchant_name, n_name AS mcc_category, count(*) AS txn_count,
-             {sql_money(AMOUNT)} AS total_revenue
-      FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
-      WHERE l_returnflag = 'N' GROUP BY ALL),
-    means AS (SELECT mcc_category, {sql_money("total_revenue")} / count(*) AS mean FROM merchant_stats GROUP BY 1),
-    shown AS (SELECT mcc_category, {sql_round("mean", 2)} AS avg_category_revenue FROM means)
-    SELECT merchant_id, merchant_name, mcc_category, total_revenue, txn_count, avg_category_revenue,
-           {sql_round("total_revenue / avg_category_revenue", 2)} AS revenue_vs_avg
-    FROM merchant_stats JOIN shown USING (mcc_category) WHERE total_revenue > avg_category_revenue""")
+    WITH sold AS (
+      SELECT l_suppkey, count(*) AS n, {sql_money(AMOUNT)} AS revenue FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1),
+    placed AS (
+      SELECT s_suppkey, s_name, n_name, n, revenue, {sql_round(
+          "cast(sum(cast(revenue AS decimal(18,2))) OVER (PARTITION BY n_nationkey) AS double)"
+          " / count(*) OVER (PARTITION BY n_nationkey)", 2)} AS usual
+      FROM sold JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey)
+    SELECT s_suppkey AS merchant_id, s_name AS merchant_name, n_name AS mcc_category, revenue AS total_revenue,
+           n AS txn_count, usual AS avg_category_revenue, {sql_round("revenue / usual", 2)} AS revenue_vs_avg
+    FROM placed WHERE revenue > usual""")
 def merchants_above_category_mean(t: Tables) -> DataFrame:
     stats = aggregates.finish(
         _per_merchant(t, t.completed).withColumnRenamed("name", "merchant_name"),
         ["merchant_id", "merchant_name", "mcc_category"], "total_revenue", "txn_count")
-    stats = checkpointed(stats)  # one row per merchant, so that the transactions are read once
     return sets.ratio_to_group_mean(
         stats, "mcc_category", "total_revenue", "avg_category_revenue", "revenue_vs_avg"
     ).select("merchant_id", "merchant_name", "mcc_category", "total_revenue", "txn_count", "avg_category_revenue",
@@ -303,7 +304,6 @@ def high_value_users(t: Tables) -> DataFrame:
     per_account = aggregates.totals_by_key(t.txns, "account_id", "amount", when=_is_debit() & _is_completed())
     totals = aggregates.finish(
         aggregates.roll_up(per_account, active, "account_id", "user_id"), "user_id", "total_debit", "txn_count")
-    totals = checkpointed(totals)  # one row per user, so that the transactions are read once
     high = sets.above_mean_multiple(totals, "total_debit", 2)
     return high.join(t.users, "user_id").select("user_id", "name", "tier", "country", "txn_count", "total_debit")
 
@@ -410,11 +410,12 @@ def busy_days(t: Tables) -> DataFrame:
 # Advanced windows
 
 @query("payments_6_1_activity_streaks", "-streak_length account_id streak_start", """
-    WITH days AS (SELECT DISTINCT user_id AS account_id, cast(ts AS date) AS day FROM events),
-    islands AS (
-      SELECT *, day - cast(row_number() OVER (PARTITION BY account_id ORDER BY day) AS int) AS island FROM days)
-    SELECT account_id, min(day) AS streak_start, max(day) AS streak_end, count(*) AS streak_length
-    FROM islands GROUP BY account_id, island HAVING count(*) >= 3""")
+    WITH days AS (SELECT DISTINCT user_id AS who, cast(ts AS date) AS day FROM events),
+    opening AS (SELECT who, day FROM days ANTI JOIN (SELECT who, day + 1 AS day FROM days) AS eve USING (who, day)),
+    closing AS (SELECT who, day FROM days ANTI JOIN (SELECT who, day - 1 AS day FROM days) AS next USING (who, day))
+    SELECT o.who AS account_id, o.day AS streak_start, min(c.day) AS streak_end, min(c.day) - o.day + 1 AS streak_length
+    FROM opening o JOIN closing c ON c.who = o.who AND c.day >= o.day
+    GROUP BY o.who, o.day HAVING min(c.day) - o.day >= 2""")
 def activity_streaks(t: Tables) -> DataFrame:
     return timeseries.streaks(t.activity, "account_id", "txn_date", 3)
 
@@ -423,11 +424,11 @@ def activity_streaks(t: Tables) -> DataFrame:
     WITH framed AS (
       SELECT event_id AS txn_id, user_id AS account_id, cast(ts AS date) AS txn_date, value AS amount,
              cast(sum(cast(value AS decimal(18,2))) OVER w AS double) / count(*) OVER w AS mean
-      FROM events
+      FROM events WHERE event_type <> 'error'
       WINDOW w AS (PARTITION BY user_id ORDER BY cast(ts AS date), event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))
     SELECT txn_id, account_id, txn_date, amount, {sql_round("mean", 2)} AS moving_avg_3 FROM framed""")
 def moving_mean(t: Tables) -> DataFrame:
-    rows = t.activity.select("txn_id", "account_id", "txn_date", "amount")
+    rows = t.activity.where("txn_type <> 'error'").select("txn_id", "account_id", "txn_date", "amount")
     return timeseries.moving_mean(rows, "account_id", "txn_date", "txn_id", "amount", 3, "moving_avg_3")
 
 
@@ -453,14 +454,12 @@ def category_percentiles(t: Tables) -> DataFrame:
 
 
 @query("payments_6_5_first_and_last_amount", "account_id", """
-    SELECT DISTINCT user_id AS account_id,
-           first_value(value) OVER w AS first_amount, last_value(value) OVER w AS last_amount
-    FROM events
-    WINDOW w AS (PARTITION BY user_id ORDER BY cast(ts AS date), event_id
-                 ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""")
+    SELECT user_id AS account_id, arg_min(value, {'day': cast(ts AS date), 'id': event_id}) AS first_amount,
+           arg_max(value, {'day': cast(ts AS date), 'id': event_id}) AS last_amount
+    FROM events WHERE event_type <> 'error' GROUP BY 1""")
 def first_and_last_amount(t: Tables) -> DataFrame:
     return ranking.first_last(
-        t.activity, "account_id", ["txn_date", "txn_id"], "amount", "first_amount", "last_amount")
+        t.activity.where("txn_type <> 'error'"), "account_id", ["txn_date", "txn_id"], "amount", "first_amount", "last_amount")
 
 
 # Set operations and subqueries
@@ -495,7 +494,8 @@ def categories_of_both_tiers(t: Tables) -> DataFrame:
     tiers = ["BUILDING", "MACHINERY"]
     chosen = t.users.where(F.col("tier").isin(*tiers)).select("user_id", "tier")
     owners = t.accounts.select("account_id", "user_id").join(chosen, "user_id").select("account_id", "tier")
-    used = t.completed.join(owners, "account_id").select("merchant_id", "tier").distinct()
+    met = t.completed.select("account_id", "merchant_id").distinct()
+    used = met.join(owners, "account_id").select("merchant_id", "tier").distinct()
     return joins.in_all_sets(used.join(t.merchants, "merchant_id"), "mcc_category", "tier", tiers)
 
 
@@ -520,12 +520,11 @@ def only_completed_customers(t: Tables) -> DataFrame:
 
 
 @query("payments_7_5_merchants_above_a_whole_category", "-total_revenue", f"""
-    WITH merchant_revenue AS (
-      SELECT s_suppkey AS merchant_id, s_name AS name, n_name AS mcc_category, {sql_money(AMOUNT)} AS total_revenue
-      FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
-      WHERE l_returnflag = 'N' GROUP BY ALL)
-    SELECT * FROM merchant_revenue WHERE mcc_category <> 'NATION_3'
-      AND total_revenue > ALL (SELECT total_revenue FROM merchant_revenue WHERE mcc_category = 'NATION_3')""")
+    WITH sold AS (SELECT l_suppkey, {sql_money(AMOUNT)} AS revenue FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1),
+    named AS (SELECT * FROM sold JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey)
+    SELECT s_suppkey AS merchant_id, s_name AS name, n_name AS mcc_category, revenue AS total_revenue
+    FROM named, (SELECT coalesce(max(revenue) FILTER (n_name = 'NATION_3'), '-infinity'::double) AS bar FROM named)
+    WHERE n_name <> 'NATION_3' AND revenue > bar""")
 def merchants_above_a_whole_category(t: Tables) -> DataFrame:
     totals = aggregates.finish(
         _per_merchant(t, t.completed), ["merchant_id", "name", "mcc_category"], "total_revenue")
@@ -618,19 +617,26 @@ def completed_against_all(t: Tables) -> DataFrame:
     return quality.dataset_diff(only_completed, everything, ["customer_id"])
 
 
-@query("dataset_diff_salted_against_plain", "customer_id", f"""
+@query("dataset_diff_salted_against_plain", "compared_keys", f"""
     WITH owned AS (SELECT CASE WHEN o_orderstatus = 'F' THEN 1 ELSE o_custkey END AS customer_id, * FROM orders),
     parts AS (SELECT customer_id, o_orderpriority, {sql_money("o_totalprice")} AS part FROM owned GROUP BY ALL),
     salted AS (SELECT customer_id, {sql_money("part")} AS total FROM parts GROUP BY 1),
     plain AS (SELECT customer_id, {sql_money("o_totalprice")} AS total FROM owned GROUP BY 1)
-    SELECT customer_id, 'changed' AS difference FROM salted FULL JOIN plain USING (customer_id)
-    WHERE (abs(salted.total - plain.total) <= 0.01) IS NOT TRUE""")
+    SELECT count(*) AS compared_keys, count(*) FILTER ((abs(salted.total - plain.total) <= 0.01) IS NOT TRUE) AS differing_keys
+    FROM salted FULL JOIN plain USING (customer_id)""")
 def salted_against_plain(t: Tables) -> DataFrame:
     salted = skew.salted_aggregate(t.skewed_orders, "customer_id", "total_amount", ["order_id"], 10)
     plain = aggregates.money_by_key(t.skewed_orders, "customer_id", "total_amount", "total_revenue")
-    return quality.dataset_diff(salted, plain, ["customer_id"])
+    return quality.diff_summary(salted, plain, ["customer_id"])
 
 
 @query("partition_statistics_of_accounts", "approach")
 def account_partition_statistics(t: Tables) -> DataFrame:
     return partition_statistics(hash_layout(t.accounts, 10, "user_id"), "by_user")
+
+
+@query("partition_statistics_of_accounts_facts", "row_total", """
+    SELECT count(*) AS row_total, cast(10 AS bigint) AS partition_total, true AS is_level, cast(0 AS bigint) AS split_keys
+    FROM orders""")
+def account_partition_facts(t: Tables) -> DataFrame:
+    return layout_facts(hash_layout(t.accounts, 10, "user_id"), "user_id", within=2.0)
