@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from ledgerloom.llm.shared import stored
+from ledgerloom.llm.text_maps import ROWS
 
 LENGTH = 4096
 END = 2
@@ -35,7 +36,7 @@ def _tokenizing(vocabulary: str, end: int) -> Callable[[Iterator[pa.RecordBatch]
         from ledgerloom.llm.vocabularies import text_ids
 
         encode, last, part, before = text_ids(vocabulary), end.to_bytes(WIDTH, "little"), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in (whole.slice(low, ROWS) for whole in batches for low in range(0, whole.num_rows, ROWS)):
             ids = [encode(text or "") + last for text in batch.column(1).to_pylist()]
             counts = [len(x) // WIDTH for x in ids]
             places = []

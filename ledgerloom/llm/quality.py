@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField
 
 from ledgerloom.llm.shared import WORD
-from ledgerloom.llm.text_maps import map_texts
+from ledgerloom.llm.text_maps import ROWS, map_texts
+from ledgerloom.llm.vocabularies import hold
 
 BUCKETS = 1 << 16
 #: Added to the count of each bucket.
@@ -75,9 +76,10 @@ def bucket_counts(docs: DataFrame, text: str) -> DataFrame:
     """``bucket, n`` over all texts: each task sums up its own, then the tasks are added up."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("nothing of the stages before")
         total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for _, run in lines(batch.column(0).to_pylist()):
+            for _, run in (line for low in range(0, batch.num_rows, ROWS) for line in lines(batch.column(0).slice(low, ROWS).to_pylist())):
                 joined = "".join(run)
                 if len(joined) < 3:
                     continue

@@ -9,6 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from ledgerloom.llm.vocabularies import hold
+
+#: Rows of a batch worked on at once.
+ROWS = 1000
+
 Compute = Callable[[list[str | None]], list[pa.Array]]
 
 
@@ -23,10 +28,13 @@ def map_texts(docs: DataFrame, text: str, fields: list[StructField], make: Calla
     schema = StructType([*(StructField(f"__{k}", docs.schema[c].dataType) for k, c in enumerate(others)), *fields])
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("nothing of the stages before")
         compute = make()
-        for batch in batches:
-            results = compute(batch.column(0).to_pylist())
-            yield pa.record_batch([*batch.columns[1:], *results], names=[*batch.schema.names[1:], *(f.name for f in fields)])
+        for whole in batches:
+            for low in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(low, ROWS)
+                results = compute(batch.column(0).to_pylist())
+                yield pa.record_batch([*batch.columns[1:], *results], names=[*batch.schema.names[1:], *(f.name for f in fields)])
 
     rows = docs.select(F.col(text).alias("__text"), *[F.col(c).alias(f"__{k}") for k, c in enumerate(others)])
     return rows.mapInArrow(mapped, schema).withColumnsRenamed({f"__{k}": c for k, c in enumerate(others)})

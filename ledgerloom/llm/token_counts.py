@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerloom.llm.shared import without
+from ledgerloom.llm.text_maps import ROWS
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
@@ -287,11 +287,10 @@ def character_classes(splitter) -> np.ndarray:
     return table
 
 
-@lru_cache(maxsize=2)
 def text_counter(name: str) -> TextCounter:
-    from ledgerloom.llm.vocabularies import resolve
+    from ledgerloom.llm.vocabularies import hold, resolve
 
-    return TextCounter(resolve(name))
+    return hold(("counter", name), lambda: TextCounter(resolve(name)))
 
 
 def count_tokens(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY, limit: int = LIMIT) -> DataFrame:
@@ -303,7 +302,7 @@ def count_tokens(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULA
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = text_counter(vocabulary)
-        for batch in batches:
+        for batch in (whole.slice(low, ROWS) for whole in batches for low in range(0, whole.num_rows, ROWS)):
             texts = batch.column(0).to_pylist()
             yield pa.record_batch([*batch.columns[1:], pa.array(counter(texts), pa.int64())], names=[*batch.schema.names[1:], "n_tokens"])
 

@@ -8,14 +8,15 @@ from __future__ import annotations
 
 import json
 from array import array
-from functools import lru_cache
+from collections.abc import Callable, Hashable
+from typing import Any
 
 import regex
 
 from ledgerloom.llm.shared import WORD
 
 #: Entries a worker keeps per memo; later words are worked out again each time.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 300_000
 
 
 def resolve(name: str) -> str:
@@ -33,6 +34,17 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
 
+_held: dict[Hashable, Any] = {}
+
+
+def hold(key: Hashable, make: Callable[[], Any] = lambda: None) -> Any:
+    """What ``make`` gives, kept for later tasks of this worker; only what was asked for last is kept."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 class Memo(dict):
     """A function remembered for the first ``MEMO_ENTRIES`` arguments it meets."""
 
@@ -91,6 +103,5 @@ class TextIds:
         return self._encoded(text)
 
 
-@lru_cache(maxsize=2)
 def text_ids(name: str) -> TextIds:
-    return TextIds(resolve(name))
+    return hold(("ids", name), lambda: TextIds(resolve(name)))
