@@ -13,11 +13,14 @@ The steps:
 2. Shingles are counted over all nodes.  A node that has too many frequent ones among its least
    hashes is shingled again in full; so its prefix is exact, too.
 3. Prefix members become postings.  In each list the member with most estimated candidates is the
-   leader; every node is verified against the leader it meets most often.  Links found are
-   joined to components, and lists that lie within one component are done.  This is repeated.
-4. In the lists that are left, all pairs from different components that match often enough are
-   verified.  Pairs inside a component need no check, so that a large group of near copies is
-   not turned into all its pairs.
+   leader; every node is verified against the leader it meets most often, its home.  Links found are
+   joined to components.  Pairs inside a component need no check.
+4. Two nodes of one home are compared by their differences from it, which are small: if they are not
+   in one component yet, they can be linked only by sharing part of the differences.  A prefix join
+   over these, rare ones first, finds the pairs.  So a large group of near copies, whose members
+   share most of what they hold, is not turned into all its pairs.
+5. In lists that hold several components and homes, the pairs of different components and homes that
+   match often enough are verified.
 
 Verification shingles the texts in question again and compares whole sets.  Which texts these are is
 told to the map tasks by a bit field of fixed size; what passes by chance is removed by the join.
@@ -39,19 +42,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
 from ledgerloom.llm.components import components
-from ledgerloom.llm.shared import checkpointed, stored
+from ledgerloom.llm.shared import checkpointed, discard, stored
+from ledgerloom.llm.text_maps import ROWS
+from ledgerloom.llm.vocabularies import hold
 
 SHINGLE = 4
 SIMILARITY = 85  # percent
 #: The largest number of shared prefix members that is asked for.
-MOST_MATCHES = 4
-#: Estimated candidates of a prefix above which one more match is asked for, and again at each eightfold.
-COSTLY = 16
+MOST_MATCHES = 16
+#: Estimated candidates of a prefix above which more matches are asked for: three more for each doubling.
+COSTLY = 8
 #: Nodes with a shingle above which it counts as frequent, in all or in one lot of a task.
-FREQUENT, FREQUENT_IN_LOT = 64, 16
+FREQUENT, FREQUENT_IN_LOT = 64, 12
 #: Shingles in a lot, and bits of the field that names texts.
-LOT, FIELD_BITS = 4_000_000, 1 << 23
-ROUNDS = 2
+LOT, FIELD_BITS = 2_000_000, 1 << 23
+#: A leader is a home if a node differs from it by at most so many times what a link allows.
+HOME = 3
 
 
 def prefix_size(n: int | Column, percent: int = SIMILARITY):
@@ -63,7 +69,7 @@ def prefix_size(n: int | Column, percent: int = SIMILARITY):
 def least_size(n: int, percent: int = SIMILARITY) -> int:
     """How many of the least hashes are kept at first: room for a few frequent ones."""
     prefix = prefix_size(n, percent)
-    return min(n, max(prefix + prefix // 2 + MOST_MATCHES, 96))
+    return min(n, max(prefix + prefix // 4 + MOST_MATCHES, 96))
 
 
 class Shingler:
@@ -106,9 +112,9 @@ def _reduced(docs: DataFrame, percent: int, size: int) -> DataFrame:
     """``id, node, n, least`` per row, and rows with ``n = -1`` that list shingles frequent in a lot."""
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, lot, held, seen = Shingler(size), [], 0, set()
+        shingler, lot, held, seen = hold(("shingler", size), lambda: Shingler(size)), [], 0, set()
         names = ["id", "node", "n", "least"]
-        for batch in batches:
+        for batch in (whole.slice(low, ROWS) for whole in batches for low in range(0, whole.num_rows, ROWS)):
             nodes, counts, least = [], [], []
             for text in batch.column(1).to_pylist():
                 hashes = shingler(text)
@@ -134,9 +140,9 @@ def _reduced(docs: DataFrame, percent: int, size: int) -> DataFrame:
     return docs.select("__id", "__text").mapInArrow(reduce, f"id {id_type}, node long, n long, least array<long>")
 
 
-def _field_of(ids: DataFrame) -> bytes:
-    """A bit field, of fixed size, of hashes of ``id``."""
-    place = F.pmod(F.xxhash64("id"), F.lit(FIELD_BITS))
+def _field_of(ids: DataFrame, hashed: bool = True) -> bytes:
+    """A bit field, of fixed size, of hashes of ``id``, or of ``id`` itself if that is a hash."""
+    place = F.pmod(F.xxhash64("id") if hashed else F.col("id"), F.lit(FIELD_BITS))
     words = ids.select(F.floor(place / 64).alias("word"), (place % 64).cast("int").alias("bit")).distinct()
     one = F.expr("shiftleft(1L, bit)")
     field = np.zeros(FIELD_BITS // 64, np.int64)
@@ -145,17 +151,17 @@ def _field_of(ids: DataFrame) -> bytes:
     return field.tobytes()
 
 
-def _in_field(field: bytes, places: pa.Array) -> np.ndarray:
+def _in_field(field: bytes, places: pa.Array | np.ndarray) -> np.ndarray:
     places = np.asarray(places).astype(np.int64)
     return (np.frombuffer(field, np.uint64)[places // 64] >> (places % 64).astype(np.uint64) & np.uint64(1)).astype(bool)
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """``node, n, all`` of the wanted ``node, id``: only texts whose id is in the bit field are shingled."""
-    field = _field_of(wanted)
+    """``key, n, all`` of the wanted ``key, node, id``: only texts whose id is in the bit field are shingled."""
+    field = _field_of(wanted.select("id"))
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(size)
+        shingler = hold(("shingler", size), lambda: Shingler(size))
         for batch in batches:
             hit = np.flatnonzero(_in_field(field, batch.column(1)))
             for low in range(0, len(hit), 256):
@@ -164,114 +170,191 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     rows = docs.select("__text", F.pmod(F.xxhash64("__id"), F.lit(FIELD_BITS)).alias("place"))
     sets = rows.mapInArrow(shingle, "node long, n long, all array<long>")
-    return sets.join(wanted.select("node"), "node", "leftsemi").dropDuplicates(["node"])
+    return sets.join(wanted.select("key", "node"), "node").dropDuplicates(["node"]).drop("node")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int, size: int) -> DataFrame:
-    """The pairs ``a, b`` whose sets are similar enough."""
+def _compared(pairs: DataFrame, docs: DataFrame, names: DataFrame, percent: int, size: int, keep_differences: bool) -> DataFrame:
+    """``a, b, n_a, n_b, linked`` of the pairs, with the ``delta`` of close ones: what only one of the two holds."""
     pairs = checkpointed(pairs.select("a", "b").distinct())
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "id"), "node")
+    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct().join(names.select("key", "node", "id"), "key")
     sets = stored(_full_sets(docs, wanted, size), "sets")
-    shared = F.size(F.array_intersect("all_a", "all_b"))
-    return (
-        pairs.join(sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("all").alias("all_a")), "a")
-        .join(sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("all").alias("all_b")), "b")
-        .where(100 * shared >= percent * (F.col("n_a") + F.col("n_b") - shared))
-        .select("a", "b")
+    both = (
+        pairs.join(sets.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("all").alias("all_a")), "a")
+        .join(sets.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("all").alias("all_b")), "b")
+        .withColumn("shared", F.size(F.array_intersect("all_a", "all_b")))
     )
+    differ = F.col("n_a") + F.col("n_b") - 2 * F.col("shared")
+    close = (100 + percent) * differ <= HOME * (100 - percent) * (F.col("n_a") + F.col("n_b"))
+    delta = F.when(close, F.concat(F.array_except("all_a", "all_b"), F.array_except("all_b", "all_a")))
+    result = both.select("a", "b", "n_a", "n_b", _similar(differ, F.col("n_a") + F.col("n_b"), percent).alias("linked"), *[delta.alias("delta")] * keep_differences)
+    result = stored(result if keep_differences else result.where("linked"), "compared")
+    discard(sets)
+    return result
+
+
+def _similar(differ: Column, sizes: Column, percent: int) -> Column:
+    """A similarity of at least ``percent``, by the number of members that only one of two sets holds."""
+    return (100 + percent) * differ <= (100 - percent) * sizes
 
 
-def _members(docs: DataFrame, reduced: DataFrame, nodes: DataFrame, percent: int, size: int) -> tuple[DataFrame, DataFrame]:
-    """The members of every node that can lie in its prefix, and the frequent shingles.
+def _delta_links(homes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between nodes of one home and different components.
 
-    Members are ``shingle, node, n, known, place``: place ``place`` by hash among the ``known`` least.
-    They are the least hashes kept at first, or the whole set where too many of these are frequent.
+    With differences ``D`` from the home, two sets differ by ``|Da| + |Db| - 2 |Da and Db|``.  One of the
+    two at least is not linked with the home, which bounds what they must share from below: more than
+    half of a node's own difference (up to the sizes of the sets), and of a node that is not linked
+    itself at least what exceeds the difference that a link allows.
     """
-    least = nodes.select("node", "n", F.size("least").alias("known"), F.posexplode("least").alias("place", "shingle"))
-    counted = least.groupBy("shingle").count().where(F.col("count") > FREQUENT).select("shingle")
-    in_lots = reduced.where("n = -1").select(F.explode("least").alias("shingle"))
-    frequent = stored(counted.union(in_lots).distinct(), "frequent")
-    late = least.join(frequent, "shingle", "leftsemi").groupBy("node").agg(F.count(F.lit(1)).alias("late"))
-    rare = F.size("least") - F.col("late")
-    short = stored(
-        nodes.join(late, "node")
-        .where((F.size("least") < F.col("n")) & (rare < prefix_size(F.col("n"), percent) + MOST_MATCHES - 1))
-        .select("node", "id"),
-        "short",
+    rate = (100 - percent) / (100 + percent)
+    size = F.size("delta")
+    half = F.floor(F.greatest(F.lit(0.0), size - rate * (F.col("n") - F.col("n_home"))) / 2 - 1e-6) + 1
+    excess = F.ceil(size - rate * F.col("n") * (1 + 100 / percent) - 1e-6)
+    least = F.greatest(F.lit(1), F.when(F.col("linked"), half).otherwise(F.least(half, excess)))
+    nodes = (
+        homes.join(roots.withColumnRenamed("root", "known_root"), F.col("key") == F.col("node"), "left")
+        .select("home", "key", "n", "delta", F.coalesce("known_root", "key").alias("root"), size.alias("size"), (size - least + 1).alias("prefix"))
     )
-    full = _full_sets(docs, short, size).select("node", "n", F.size("all").alias("known"), F.posexplode("all").alias("place", "shingle"))
-    return least.join(short, "node", "leftanti").unionByName(full), frequent
+    members = nodes.select("home", "key", "n", "root", "size", "prefix", F.explode("delta").alias("shingle"))
+    counts = members.groupBy("home", "shingle").agg(F.count(F.lit(1)).alias("count"), F.min("root").alias("low"), F.max("root").alias("high")).where("count > 1")
+    node = Window.partitionBy("key")
+    place = F.row_number().over(node.orderBy("count", "shingle")) - 1
+    alone = F.col("size") - F.count(F.lit(1)).over(node)
+    chosen = (
+        members.join(counts, ["home", "shingle"]).withColumn("place", place).withColumn("alone", alone)
+        .where((F.col("place") + F.col("alone") < F.col("prefix")) & (F.col("low") < F.col("high")))
+    )
+    sides = [chosen.select("home", "shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("key", "n", "root")]) for side in "ab"]
+    pairs = (
+        sides[0].join(sides[1], ["home", "shingle"])
+        .where((F.col("key_a") < F.col("key_b")) & (F.col("root_a") != F.col("root_b")) & _sized(F.col("n_a"), F.col("n_b"), percent))
+        .select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
+    )
+    both = (
+        pairs.join(homes.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("delta").alias("delta_a")), "a")
+        .join(homes.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("delta").alias("delta_b")), "b")
+    )
+    differ = F.size("delta_a") + F.size("delta_b") - 2 * F.size(F.array_intersect("delta_a", "delta_b"))
+    return checkpointed(both.where(_similar(differ, F.col("n_a") + F.col("n_b"), percent)).select("a", "b"))
 
 
-def _postings(members: DataFrame, frequent: DataFrame, percent: int) -> DataFrame:
-    """``shingle, node, n, level, matches, cost``: prefix members that another node holds as well.
+def _late(nodes: DataFrame, frequent: DataFrame) -> DataFrame:
+    """``key, late``: how many of a node's least hashes are frequent.
 
-    ``level`` is the smallest ``l`` whose prefix holds the member; ``matches`` is the node's own ``l``.
+    A bit field lets only hashes that may be frequent leave the map tasks.
     """
+    field = _field_of(frequent.select(F.col("shingle").alias("id")), hashed=False)
+
+    def suspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            hashes = np.asarray(lists.flatten(), np.int64)
+            hit = np.flatnonzero(_in_field(field, hashes % FIELD_BITS))
+            keys = np.repeat(np.asarray(batch.column(0), np.int64), np.asarray(lists.value_lengths()))
+            yield pa.record_batch([pa.array(keys[hit]), pa.array(hashes[hit])], names=["key", "shingle"])
+
+    found = nodes.select("key", "least").mapInArrow(suspect, "key long, shingle long")
+    return found.join(frequent, "shingle", "leftsemi").groupBy("key").agg(F.count(F.lit(1)).alias("late"))
+
+
+def _postings(docs: DataFrame, nodes: DataFrame, in_lots: DataFrame, percent: int, size: int) -> DataFrame:
+    """``shingle, key, n, rank, level, matches, cost``: the prefix members that another node may hold.
+
+    A node's members are its least hashes, or its whole set where too many of these are frequent.
+    ``rank`` is the place in the global order, ``level`` the smallest ``l`` whose prefix holds the
+    member, ``matches`` the node's own ``l``.
+    """
+    least = nodes.select("key", F.posexplode("least").alias("place", "shingle"))
+    counts = stored(least.groupBy("shingle").count().where("count > 1"), "counts")
+    frequent = stored(counts.where(F.col("count") > FREQUENT).select("shingle").union(in_lots).distinct(), "frequent")
+    rare = F.size("least") - F.col("late")
+    short = stored(
+        nodes.join(_late(nodes, frequent), "key")
+        .where((F.size("least") < F.col("n")) & (rare < prefix_size(F.col("n"), percent) + MOST_MATCHES - 1))
+        .select("key", "node", "id"),
+        "short",
+    )
+    full = stored(_full_sets(docs, short, size), "full")
+    whole = full.select("key", F.posexplode("all").alias("place", "shingle"))
+    known = (
+        nodes.join(short.select("key"), "key", "leftanti").select("key", F.col("n").cast("int").alias("n"), F.size("least").alias("known"))
+        .union(full.select("key", F.col("n").cast("int"), F.size("all")))
+    )
+    members = nodes.join(short.select("key"), "key", "leftanti").select("key", F.posexplode("least").alias("place", "shingle")).union(whole)
     shared = (
-        members.groupBy("shingle").count().where("count > 1")
-        .join(frequent.withColumn("late", F.lit(1)), "shingle", "left")
-        .select("shingle", "count", F.coalesce("late", F.lit(0)).alias("late"))
+        counts.select("shingle", "count", F.lit(0).alias("late"))
+        .union(whole.groupBy("shingle").count().select("shingle", "count", F.lit(0)))
+        .union(frequent.select("shingle", F.lit(1), F.lit(1)))
+        .groupBy("shingle").agg(F.max("count").cast("int").alias("count"), F.max("late").alias("late"))
     )
-    node = Window.partitionBy("node")
+    node = Window.partitionBy("key")
     before = node.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    late_before = F.coalesce(F.sum("late").over(before), F.lit(0))
-    rank = F.when(F.col("late") == 1, F.col("known") - F.col("late_all") + F.col("late_before")).otherwise(F.col("place") - F.col("late_before"))
+    rank = F.when(F.col("late") == 1, F.col("known") - F.col("late_all") + F.coalesce("late_before", F.lit(0))).otherwise(F.col("place") - F.coalesce("late_before", F.lit(0)))
     level = F.greatest(F.lit(1), F.col("rank") - prefix_size(F.col("n"), percent) + 2)
-    eightfold = F.floor(F.log2(F.greatest(F.col("cost"), F.lit(1)) / COSTLY) / 3).cast("int")
+    more = F.ceil(3 * F.log2(F.greatest(F.col("cost"), F.lit(1)) / COSTLY))
     needed = F.floor((percent * F.col("n") + 99) / 100)
-    matches = F.when(F.col("cost") <= COSTLY, 1).otherwise(F.least(F.lit(MOST_MATCHES), 2 + eightfold, needed)).cast("int")
-    return (
-        members.join(shared, "shingle")
-        .withColumn("late_before", late_before).withColumn("late_all", F.sum("late").over(node))
-        .withColumn("rank", rank).withColumn("level", level).where(F.col("level") <= MOST_MATCHES)
+    matches = F.when(F.col("cost") <= COSTLY, 1).otherwise(F.least(F.lit(MOST_MATCHES), 1 + more, needed)).cast("int")
+    postings = stored(
+        members.join(shared, "shingle").join(known, "key")
+        .withColumn("late_before", F.sum("late").over(before)).withColumn("late_all", F.sum("late").over(node))
+        .withColumn("rank", rank.cast("int")).withColumn("level", level.cast("int")).where(F.col("level") <= MOST_MATCHES)
         .withColumn("cost", F.coalesce(F.sum(F.when(F.col("level") == 1, F.col("count") - 1)).over(node), F.lit(0)))
         .withColumn("matches", matches).where(F.col("level") <= F.col("matches"))
-        .select("shingle", "node", "n", F.col("level").cast("int").alias("level"), "matches", "cost")
+        .select("shingle", "key", "n", "rank", "level", "matches", "cost"),
+        "postings",
     )
+    for table in (counts, frequent, short, full):
+        discard(table)
+    return postings
 
 
 def _sized(a: Column | str, b: Column | str, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _open_lists(postings: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """The postings with their component, without the lists that lie within one component."""
-    if roots is None:
-        rows = postings.withColumn("root", F.col("node"))
-    else:
-        rows = postings.join(roots.withColumnRenamed("root", "known_root"), postings["node"] == F.col("__node"), "left")
-        rows = rows.withColumn("root", F.coalesce("known_root", "node")).drop("known_root", "__node")
-    lists = rows.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    return checkpointed(rows.join(lists.select("shingle"), "shingle", "leftsemi"))
+def _open_lists(postings: DataFrame, roots: DataFrame, homes: DataFrame) -> DataFrame:
+    """The postings with ``root`` and ``home``, without the lists of one component or one home."""
+    rows = (
+        postings.drop("root")
+        .join(roots.select(F.col("node").alias("known_key"), F.col("root").alias("known_root")), F.col("key") == F.col("known_key"), "left")
+        .join(homes.select(F.col("key").alias("home_key"), "home"), F.col("key") == F.col("home_key"), "left")
+        .withColumn("root", F.coalesce("known_root", "key")).drop("known_root", "known_key", "home_key")
+    )
+    several = (F.min("root") < F.max("root")) & ((F.count("home") < F.count(F.lit(1))) | (F.min("home") < F.max("home")))
+    lists = rows.groupBy("shingle").agg(several.alias("several")).where("several")
+    return stored(rows.join(lists.select("shingle"), "shingle", "leftsemi"), "open")
 
 
 def _leader_pairs(postings: DataFrame, percent: int) -> DataFrame:
     """Each node with the leader that it meets most often, if they match often enough."""
-    leader = F.max(F.struct("cost", "node", "root", "n", "matches"))
+    leader = F.max(F.struct("cost", "key", "n", "matches"))
     leaders = postings.groupBy("shingle").agg(leader.alias("lead"))
     met = (
         postings.join(leaders, "shingle")
-        .where((F.col("root") != F.col("lead.root")) & _sized(F.col("n"), F.col("lead.n"), percent))
-        .groupBy("node", F.col("lead.node").alias("leader"))
-        .agg(F.count(F.lit(1)).alias("met"), F.least(F.first("matches"), F.first("lead.matches")).alias("needed"))
+        .where((F.col("key") != F.col("lead.key")) & _sized(F.col("n"), F.col("lead.n"), percent))
+        .groupBy("key", F.col("lead.key").alias("leader"))
+        .agg(F.count(F.lit(1)).alias("met"), F.min(F.least("matches", "lead.matches")).alias("needed"))
         .where("met >= needed")
     )
-    best = met.groupBy("node").agg(F.max(F.struct("met", "leader")).alias("best"))
-    return best.select(F.col("node").alias("a"), F.col("best.leader").alias("b"))
+    best = met.groupBy("key").agg(F.max(F.struct("met", "leader")).alias("best"))
+    return best.select(F.col("key").alias("a"), F.col("best.leader").alias("b"))
 
 
 def _remaining_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components that share enough prefix members."""
-    left = postings.select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "root", "level", "matches")])
-    right = postings.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "root", "level", "matches")])
+    """All pairs of different components and homes that share enough prefix members.
+
+    Members after the last shared one can add no more than the shorter rest (positional filter).
+    """
+    sides = [postings.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("key", "n", "root", "home", "rank", "level", "matches")]) for side in "ab"]
+    apart = F.coalesce(F.col("home_a") != F.col("home_b"), F.lit(True))
     needed = F.least("matches_a", "matches_b")
+    rest = F.least(F.col("n_a") - F.col("last_a"), F.col("n_b") - F.col("last_b")) - 1
     return (
-        left.join(right, "shingle")
-        .where((F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")))
+        sides[0].join(sides[1], "shingle")
+        .where((F.col("key_a") < F.col("key_b")) & (F.col("root_a") != F.col("root_b")) & apart)
         .where(_sized(F.col("n_a"), F.col("n_b"), percent) & (F.greatest("level_a", "level_b") <= needed))
-        .groupBy("node_a", "node_b").agg(F.count(F.lit(1)).alias("met"), F.first(needed).alias("needed"))
-        .where("met >= needed").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+        .groupBy(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
+        .agg(F.count(F.lit(1)).alias("met"), F.min(needed).alias("needed"), F.min("n_a").alias("n_a"), F.min("n_b").alias("n_b"), F.max("rank_a").alias("last_a"), F.max("rank_b").alias("last_b"))
+        .where((F.col("met") >= F.col("needed")) & ((100 + percent) * (F.col("met") + rest) >= percent * (F.col("n_a") + F.col("n_b"))))
     )
 
 
@@ -285,24 +368,33 @@ def join_documents(
     """
     docs = docs.select(F.col(row_id).alias("__id"), F.col(text).alias("__text"))
     reduced = stored(_reduced(docs, percent, size), "reduced")
-    nodes = stored(reduced.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("least").alias("least")), "nodes")
-    members, frequent = _members(docs, reduced, nodes, percent, size)
-    postings = stored(_postings(members, frequent, percent), "postings")
-    links, roots = None, None
-    for turn in range(ROUNDS + 1):
-        postings = _open_lists(postings.drop("root"), roots)
-        pairs = _leader_pairs(postings, percent) if turn < ROUNDS else _remaining_pairs(postings, percent)
-        found = _linked(pairs, docs, nodes, percent, size)
-        links = checkpointed(found if links is None else links.union(found))
-        roots = checkpointed(components(links)).withColumnRenamed("node", "__node")
-    placed = (
-        reduced.where("n >= 0").join(roots, F.col("node") == F.col("__node"), "left")
-        .withColumn("root", F.coalesce("root", "node")).select("id", "n", "root")
-    )
-    named = placed.where("n > 0").groupBy("root").agg(F.min("id").alias("least_id")).withColumnRenamed("root", "named_root")
+    rows = stored(reduced.where("n >= 0").select("id", "node", "n"), "rows")
+    in_lots = stored(reduced.where("n = -1").select(F.explode("least").alias("shingle")).distinct(), "lots")
+    sets = reduced.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("least").alias("least"))
+    nodes = stored(sets.withColumn("key", F.monotonically_increasing_id()), "nodes")
+    discard(reduced)
+    names = stored(nodes.select("key", "node", "id"), "names")
+    postings = _postings(docs, nodes, in_lots, percent, size)
+    discard(nodes)
+    led = _compared(_leader_pairs(postings, percent), docs, names, percent, size, keep_differences=True)
+    links = led.where("linked").select("a", "b")
+    homes = led.where("delta is not null").select(F.col("a").alias("key"), F.col("b").alias("home"), F.col("n_a").alias("n"), F.col("n_b").alias("n_home"), "linked", "delta")
+    roots = checkpointed(components(links))
+    links = links.union(_delta_links(homes, roots, percent))
+    roots = checkpointed(components(links))
+    lists = _open_lists(postings, roots, homes)
+    discard(postings)
+    rest = _compared(_remaining_pairs(lists, percent), docs, names, percent, size, keep_differences=False)
+    roots = checkpointed(components(links.union(rest.select("a", "b"))))
+    for table in (lists, led, rest):
+        discard(table)
+    known = names.select("key", "node").join(roots.withColumnRenamed("node", "linked"), F.col("key") == F.col("linked"), "left")
+    known = known.select(F.col("node").alias("named"), F.coalesce("root", "key").alias("root"))
+    placed = rows.join(known, F.col("node") == F.col("named"), "left").select("id", "n", "root")
+    least = placed.where("n > 0").groupBy("root").agg(F.min("id").alias("least_id")).withColumnRenamed("root", "named_root")
     component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("least_id"))
     return (
-        placed.join(named, F.col("root") == F.col("named_root"), "left")
+        placed.join(least, F.col("root") == F.col("named_root"), "left")
         .select(F.col("id").alias(row_id), F.col("n").alias("n_shingles"), component.alias("component_id"))
     )
 
