@@ -5,8 +5,9 @@ template's words.  Words are put in one global order, by the number of documents
 rarest first.  Since a block may miss only few words of a template, it must hold one of the
 template's first, rarest words (prefix filter); which of them it holds first bounds what is left to
 share (positional filter), and it must be long enough (length filter).  Blocks that pass are compared
-word by word, so that none is missed.  The blocks of a text for a template are overlapping windows of twice the template's
-length, so that a passage of that length lies whole in one of them.
+word by word, so that none is missed.  The blocks of a text for a template are all windows of twice the
+template's length, at every word; of those that hold the same of its words only the one that begins with
+such a word is compared, as moving a block up to its first one loses none.
 
 The templates are a short list of the library, so the join runs inside each row with DataFrame
 functions only: no row is shuffled but the counts of the templates' own words.
@@ -85,15 +86,26 @@ def best_block(template: str, frequencies: dict[str, int], threshold: float) ->
     ordered = sorted(set(template.split()), key=lambda w: (frequencies[w], w))
     need = math.ceil(threshold * len(ordered))
     prefix = _strings(ordered[: len(ordered) - need + 1])
-    stride = len(template.split())
+    length = 2 * len(template.split())
     size = F.size("__words")
-    places = F.filter(F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0))), lambda p: F.array_contains(prefix, F.get("__words", p)))
-    blocks = F.array_distinct(F.flatten(F.transform(places, lambda p: F.array(F.floor(p / stride), F.floor(p / stride) - 1))))
-    long_enough = F.filter(blocks, lambda b: (b >= 0) & (size - b * stride >= need))
     whole = _strings(ordered)
+    places = F.filter(F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0))), lambda p: F.array_contains(prefix, F.get("__words", p)))
+
+    def starts(places: Column) -> Column:
+        """Places of template words from which a block holds a prefix word; each place is met once."""
+
+        def before(p: Column, k: Column) -> Column:
+            free = F.coalesce(F.get(places, k - 1) + 1, F.lit(0))
+            return F.filter(F.sequence(F.greatest(free, p - (length - 1)), p), lambda s: F.array_contains(whole, F.get("__words", s)))
+
+        return F.flatten(F.transform(places, before))
+
+    # In a list of one, the places are worked out once for all steps that look at them.
+    blocks = F.flatten(F.transform(F.array(places), starts))
+    long_enough = F.filter(blocks, lambda s: size - s >= need)
 
-    def held(block: Column) -> Column:
-        return F.size(F.array_intersect(F.slice("__words", (block * stride + 1).cast("int"), F.lit(2 * stride)), whole))
+    def held(start: Column) -> Column:
+        return F.size(F.array_intersect(F.slice("__words", start + 1, F.lit(length)), whole))
 
     most = F.coalesce(F.array_max(F.transform(long_enough, held)), F.lit(0))
     candidate = (size >= need) & F.arrays_overlap("__words", prefix)
