@@ -2,7 +2,8 @@
 
 Features are hashed letter trigrams of the lower-cased text, as shares of all its trigrams.  Linear
 support vector machines, one for each pair of families and one for each pair of languages of a
-family, are fitted on a bounded sample of labelled rows.  A text first takes the family that wins
+family, are fitted on a sample of labelled rows: every language is in it, with fewer rows each where
+there are many.  A text first takes the family that wins
 most of its pairs, then the language that wins most inside that family.  Prediction is a map over
 whole texts that sees nothing but the text.
 
@@ -21,14 +22,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ledgerloom.llm.text_maps import map_texts
 
 BUCKETS = 1 << 12
-#: The bound of the training sample: about so many rows of each language, of so many languages at most.
+#: The bound of the training sample: about so many rows of each language, and so many rows in all; where
+#: there are many languages, each has an equal part of these, but not under the least number.
 ROWS_PER_LANGUAGE = 500
-MOST_LANGUAGES = 100
+ROWS_IN_ALL = 50_000
+LEAST_ROWS = 50
 UNKNOWN = "und"
 #: Texts counted at once, and characters after which a part is folded into the counts.
 ROWS = 256
@@ -125,7 +128,7 @@ class Discriminator:
         weights = []
         for a, b in combinations(range(len(self.names)), 2):
             rows = np.flatnonzero((labels == self.names[a]) | (labels == self.names[b]))
-            weights.append(fit_svm(x[rows], labels[rows] == self.names[a]))
+            weights.append(fit_svm(x[rows], labels[rows] == self.names[a]).astype(np.float32))
             self.pairs.append((a, b))
         self.weights = np.array(weights, np.float32).reshape(len(weights), x.shape[1]).T
 
@@ -177,15 +180,22 @@ def held_out(row_id: Column) -> Column:
     return F.coalesce(F.crc32(row_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def rows_of_each(languages: int) -> int:
+    """How many rows of each language are learned from."""
+    return max(min(ROWS_PER_LANGUAGE, ROWS_IN_ALL // max(languages, 1)), LEAST_ROWS)
+
+
 def training_sample(docs: DataFrame, row_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """``lang, text`` of about ``ROWS_PER_LANGUAGE`` labelled rows of each language, chosen by a hash of the id."""
+    """``lang, text`` of about ``rows_of_each`` labelled rows of every language, chosen by a hash of the id."""
     labelled = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(row_id).isNotNull() & ~held_out(F.col(row_id)))
-    counts = labelled.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MOST_LANGUAGES).collect()
+    counts = labelled.groupBy(F.col(lang).alias("__lang")).agg(F.count(F.lit(1)).alias("__count")).collect()
+    wanted = rows_of_each(len(counts))
+    schema = StructType([StructField("__lang", docs.schema[lang].dataType), StructField("__share", DoubleType())])
+    drawn = docs.sparkSession.createDataFrame([(name, wanted / count) for name, count in counts], schema)
     draw = F.shiftrightunsigned(F.xxhash64(row_id, F.lit("language sample")), 11) / F.lit(float(1 << 53))
-    chosen = F.lit(False)
-    for name, count in counts:
-        chosen = chosen | ((F.col(lang) == name) & (draw < ROWS_PER_LANGUAGE / count))
-    return labelled.where(chosen).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), draw.alias("draw"))
+    chosen = rows.join(F.broadcast(drawn), F.col("lang") == F.col("__lang")).where(F.col("draw") < F.col("__share"))
+    return chosen.select("lang", "text")
 
 
 def fit(sample: DataFrame) -> LanguageModel:
