@@ -2,8 +2,8 @@
 
 Character trigrams are hashed into a fixed number of buckets.  Two multinomials over the buckets are
 counted: one over the whole corpus, one over trusted documents, which labels call good and not toxic.
-The trusted side is fitted on a sample of labelled rows of bounded size (``MOST_TRUSTED``), so that its
-ids can be sent to all tasks and no text is shuffled.  A document's score is the mean, over its trigrams, of the logarithm of the
+Both count every document of theirs.  Which documents are trusted is told to the map tasks by two bit
+fields of fixed size; only texts that these leave open are shuffled.  A document's score is the mean, over its trigrams, of the logarithm of the
 ratio of the two (smoothed) probabilities, so that it does not depend on the length.  Every document
 is held against one fixed threshold.  Base rules on word counts and repetition come first.
 
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField
 
+from ledgerloom.llm import ngram_join
 from ledgerloom.llm.shared import WORD
 from ledgerloom.llm.text_maps import ROWS, map_texts
 from ledgerloom.llm.vocabularies import hold
@@ -32,8 +33,6 @@ BUCKETS = 1 << 16
 SMOOTHING = 1.0
 #: The lowest mean log ratio that is kept.
 THRESHOLD = -0.75
-#: The bound of the labelled sample: about so many trusted documents, chosen by a hash of their ids.
-MOST_TRUSTED = 20_000
 FEWEST_WORDS = 10
 MOST_REPEATED = 20  # percent of the words
 WINDOW = 5
@@ -95,12 +94,35 @@ def bucket_counts(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(text).mapInArrow(counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
-def trusted_documents(docs: DataFrame, labels: DataFrame, row_id: str = "doc_id", most: int = MOST_TRUSTED) -> DataFrame:
-    """The documents of about ``most`` labels that are good and not toxic, or of all if there are fewer."""
-    good = labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__good"))
-    draw = F.shiftrightunsigned(F.xxhash64("__good", F.lit("trusted sample")), 11) / F.lit(float(1 << 53))
-    sample = good.where(draw < most / max(good.count(), 1))
-    return docs.join(F.broadcast(sample), docs[row_id] == F.col("__good"), "leftsemi")
+def trusted_documents(docs: DataFrame, labels: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Id and text of all documents that labels call good and not toxic.
+
+    A bit field of the good ids lets documents pass where they are.  The ids that pass by chance are
+    found by a join of ids alone and make a second field: what passes the first and is not in the
+    second is trusted, and what is in both is looked up.
+    """
+    kind = docs.schema[row_id].dataType
+    good = labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select(F.col("doc_id").cast(kind).alias("id")).where("id is not null")
+    first = ngram_join._field_of(good)
+    rows = docs.select(F.col(row_id).alias("id"), F.col(text).alias("text"))
+
+    def passing(rows: DataFrame, inside: bytes, other: bytes, in_other: bool) -> DataFrame:
+        """The rows in one field, and in or not in another one."""
+
+        def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hit = ngram_join._in_field(inside, batch.column(0)) & (ngram_join._in_field(other, batch.column(0)) == in_other)
+                yield pa.record_batch(batch.columns[1:], names=batch.schema.names[1:]).filter(pa.array(hit))
+
+        place = F.pmod(F.xxhash64("id"), F.lit(ngram_join.FIELD_BITS)).alias("place")
+        return rows.select(place, *rows.columns).mapInArrow(passed, rows.schema)
+
+    by_chance = passing(rows.select("id"), first, bytes(len(first)), False).distinct().join(good, "id", "leftanti")
+    second = ngram_join._field_of(by_chance)
+    found = passing(rows, first, second, False)
+    if any(second):
+        found = found.union(passing(rows, first, second, True).join(good, "id", "leftsemi"))
+    return found.select(F.col("id").alias(row_id), F.col("text").alias(text))
 
 
 def log_ratios(trusted: DataFrame, corpus: DataFrame, text: str = "text") -> np.ndarray:
