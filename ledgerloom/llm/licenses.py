@@ -3,8 +3,9 @@
 Both sides are sets of words.  A block meets a template when it holds at least ``THRESHOLD`` of the
 template's words.  Words are put in one global order, by the number of documents that hold them,
 rarest first.  Since a block may miss only few words of a template, it must hold one of the
-template's first, rarest words (prefix filter); which of them it holds first bounds what is left to
-share (positional filter), and it must be long enough (length filter).  Blocks that pass are compared
+template's first, rarest words (prefix filter), and it must be long enough (length filter).  There is
+no positional filter: only the templates' words have places in the order, and by them a block that
+holds any prefix word can still reach what it needs.  Blocks that pass are compared
 word by word, so that none is missed.  The blocks of a text for a template are all windows of twice the
 template's length, at every word; of those that hold the same of its words only the one that begins with
 such a word is compared, as moving a block up to its first one loses none.
