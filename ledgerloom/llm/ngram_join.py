@@ -39,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from ledgerloom.llm.components import components
 from ledgerloom.llm.shared import checkpointed, discard, stored
@@ -358,14 +358,8 @@ def _remaining_pairs(postings: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def join_documents(
-    docs: DataFrame, row_id: str = "doc_id", text: str = "text", percent: int = SIMILARITY, size: int = SHINGLE
-) -> DataFrame:
-    """A row per document: its id, ``n_shingles`` and ``component_id``.
-
-    Two documents are linked when their sets of ``size``-word shingles have a Jaccard similarity of
-    at least ``percent`` hundredths; the component is named by the least id that links reach.
-    """
+def _placed(docs: DataFrame, row_id: str, text: str, percent: int, size: int) -> DataFrame:
+    """``id, node, n, root`` of each document: its set's fingerprint and size, and the component of it."""
     docs = docs.select(F.col(row_id).alias("__id"), F.col(text).alias("__text"))
     reduced = stored(_reduced(docs, percent, size), "reduced")
     rows = stored(reduced.where("n >= 0").select("id", "node", "n"), "rows")
@@ -390,7 +384,18 @@ def join_documents(
         discard(table)
     known = names.select("key", "node").join(roots.withColumnRenamed("node", "linked"), F.col("key") == F.col("linked"), "left")
     known = known.select(F.col("node").alias("named"), F.coalesce("root", "key").alias("root"))
-    placed = rows.join(known, F.col("node") == F.col("named"), "left").select("id", "n", "root")
+    return rows.join(known, F.col("node") == F.col("named"), "left").select("id", "node", "n", "root")
+
+
+def join_documents(
+    docs: DataFrame, row_id: str = "doc_id", text: str = "text", percent: int = SIMILARITY, size: int = SHINGLE
+) -> DataFrame:
+    """A row per document: its id, ``n_shingles`` and ``component_id``.
+
+    Two documents are linked when their sets of ``size``-word shingles have a Jaccard similarity of
+    at least ``percent`` hundredths; the component is named by the least id that links reach.
+    """
+    placed = _placed(docs, row_id, text, percent, size)
     least = placed.where("n > 0").groupBy("root").agg(F.min("id").alias("least_id")).withColumnRenamed("root", "named_root")
     component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("least_id"))
     return (
@@ -399,25 +404,50 @@ def join_documents(
     )
 
 
-def one_of_each_group(docs: DataFrame, row_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents without those that are linked, in one or more steps, with one of lower id.
+def one_of_each_group(
+    docs: DataFrame, row_id: str = "doc_id", text: str = "text", percent: int = SIMILARITY, size: int = SHINGLE
+) -> DataFrame:
+    """Of the documents that are linked, in one or more steps, the one of lowest id; unlinked ones stay.
 
-    Of rows with equal id and text one stays.  A bit field of the ids in question lets all other rows
-    pass where they are; only those that it names are shuffled to be looked up.
+    Ids need not be unique: rows are told apart by the id and the fingerprint of their set, the lower
+    one first; of rows with equal id and set, or without words and with equal id and text, one stays.
+    Rows without an id stay.  A bit field of the ids in question lets all other rows pass where they
+    are; only those that it names are shuffled to be looked up.
     """
-    joined = stored(join_documents(docs, row_id, text, **options).select(F.col(row_id).alias("id"), "component_id"), "joined")
-    gone = joined.where(F.col("id") != F.col("component_id")).select("id").distinct()
-    repeated = joined.groupBy("id").count().where("count > 1").select("id")
-    field = _field_of(gone.union(repeated))
+    placed = stored(_placed(docs, row_id, text, percent, size), "placed")
+    linked = placed.where("n > 0 and id is not null")
+    first = linked.groupBy("root").agg(F.min(F.struct("id", "node")).alias("first")).withColumnRenamed("root", "named_root")
+    gone = (
+        linked.join(first, F.col("root") == F.col("named_root"))
+        .where((F.col("id") != F.col("first.id")) | (F.col("node") != F.col("first.node")))
+        .select("id", F.col("node").alias("gone")).distinct()
+    )
+    repeated = placed.groupBy("id").count().where("count > 1").select("id")
+    field = _field_of(gone.select("id").union(repeated))
+    names = [f"__c{k}" for k in range(len(docs.columns))]
+    key, content = (names[docs.columns.index(c)] for c in (row_id, text))
+    at = 1 + docs.columns.index(text)
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.record_batch([*batch.columns[1:], pa.array(_in_field(field, batch.column(0)))], names=[*batch.schema.names[1:], "__named"])
+        shingler = hold(("shingler", size), lambda: Shingler(size))
+
+        def node(content: str | None) -> int | None:
+            hashes = shingler(content)
+            return shingler.fingerprint(hashes) if len(hashes) else None
+
+        for batch in (whole.slice(low, ROWS) for whole in batches for low in range(0, whole.num_rows, ROWS)):
+            hit = _in_field(field, batch.column(0))
+            nodes = [node(batch.column(at)[k].as_py()) if there else None for k, there in enumerate(hit)]
+            yield pa.record_batch([*batch.columns[1:], pa.array(hit), pa.array(nodes, pa.int64())], names=[*batch.schema.names[1:], "__named", "__node"])
 
-    names = [f"__c{k}" for k in range(len(docs.columns))]
     place = F.pmod(F.xxhash64(docs[row_id]), F.lit(FIELD_BITS))
-    schema = StructType([StructField(n, docs.schema[c].dataType) for n, c in zip(names, docs.columns)] + [StructField("__named", BooleanType())])
+    schema = StructType([StructField(n, docs.schema[c].dataType) for n, c in zip(names, docs.columns)] + [StructField("__named", BooleanType()), StructField("__node", LongType())])
     rows = docs.select(place.alias("place"), *[docs[c].alias(n) for n, c in zip(names, docs.columns)]).mapInArrow(named, schema)
-    key, content = (names[docs.columns.index(c)] for c in (row_id, text))
-    looked_up = rows.where("__named").join(gone, F.col(key) == F.col("id"), "leftanti").dropDuplicates([key, content])
-    return rows.where(~F.col("__named")).union(looked_up).drop("__named").withColumnsRenamed(dict(zip(names, docs.columns)))
+    # Rows without words or an id are told apart by their text.
+    whole = F.when(F.col("__node").isNull() | F.col(key).isNull(), F.col(content))
+    looked_up = (
+        rows.where("__named").join(gone, (F.col(key) == F.col("id")) & (F.col("__node") == F.col("gone")), "leftanti")
+        .groupBy(F.col(key).alias("__key"), "__node", whole.alias("__whole"))
+        .agg(F.min_by(F.struct(*names), F.coalesce(F.col(content), F.lit(""))).alias("__row")).select("__row.*")
+    )
+    return rows.where(~F.col("__named")).select(*names).union(looked_up).withColumnsRenamed(dict(zip(names, docs.columns)))
