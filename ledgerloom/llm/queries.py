@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import language_id, licenses, mixing, ngram_join, packing, personal_data, quality, sharding, token_counts, vector_search
+from ledgerloom.llm import (
+    language_id, licenses, mixing, ngram_join, packing, periodic_runs, personal_data, quality, quality_classifier, sharding,
+    spelling_variants, token_counts, vector_search,
+)
 from ledgerloom.llm.shared import documents
 from ledgerloom.sources.tables import load_table
 
@@ -76,3 +79,22 @@ def op7_top_k_search(spark: SparkSession, folder: str) -> DataFrame:
 @_register
 def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.join_documents(documents(spark, folder))
+
+
+@_register
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(periodic_runs.planted(documents(spark, folder).select("doc_id", "text")))
+    digests = periodic_runs.digests(found)
+    return found.select("doc_id", *[column.alias(name) for name, column in digests.items()])
+
+
+@_register
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    runs = spelling_variants.with_slips(spelling_variants.letter_runs(documents(spark, folder)))
+    return spelling_variants.spelling_variants(spelling_variants.word_counts(runs))
+
+
+@_register
+def op13_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality_classifier.classify_quality(documents(spark, folder), load_table(spark, folder, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
