@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField
+from pyspark.sql.types import BinaryType, DoubleType, IntegerType, StructField, StructType
 
 from ledgerloom.llm.shared import WORD, stored
 from ledgerloom.llm.text_maps import map_texts
@@ -176,7 +176,7 @@ class QualityModel:
 def score_quality(rows: DataFrame, model: QualityModel, good_from: float = GOOD_FROM) -> DataFrame:
     """The rows with ``score`` and ``predicted`` instead of ``statistics``."""
     others = [c for c in rows.columns if c not in ("statistics", "score", "predicted")]
-    fields = rows.select(*others).schema
+    schema = StructType([*rows.select(*others).schema.fields, StructField("score", DoubleType()), StructField("predicted", IntegerType())])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,7 +184,7 @@ def score_quality(rows: DataFrame, model: QualityModel, good_from: float = GOOD_
             yield pa.record_batch([*batch.columns[1:], pa.array(scores), pa.array((scores >= good_from).astype(np.int32))],
                                   names=[*batch.schema.names[1:], "score", "predicted"])
 
-    return rows.select("statistics", *others).mapInArrow(scored, fields.add("score", "double").add("predicted", "int"))
+    return rows.select("statistics", *others).mapInArrow(scored, schema)
 
 
 def classify_quality(docs: DataFrame, labels: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
