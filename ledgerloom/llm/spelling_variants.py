@@ -2,10 +2,10 @@
 
 The letters are dealt into groups, and a word is described by how many of its letters each group has.  One
 inserted, deleted or replaced letter changes these counts by a surplus of one in at most one group and a
-deficit of one in at most one other.  The counts, group after group, are the levels of a trie.  Its upper
-levels deal the vocabulary over tasks: a word lives in the subtree of its first counts and asks there and in
-the subtrees that its budget of one surplus and one deficit can still reach.  How many levels that takes
-follows from the counted sizes of the subtrees.  Inside a subtree a depth-first search spends what is left
+deficit of one in at most one other.  The counts, group after group (those that differ most come first), are
+the levels of a trie.  Its upper levels deal the vocabulary over tasks: a word lives in the subtree of its
+first counts and asks there and in the subtrees that its budget of one surplus and one deficit can still
+reach.  How many levels that takes follows from the counted sizes of the subtrees.  Inside a subtree a depth-first search spends what is left
 of the budget.  Words at a leaf are looked up by their first and last half, one of which an edit leaves as
 it is, and then compared letter by letter.  A subtree too large at the lowest level is cut by a hash of its
 words, and every word that asks there asks each part: no word is left out.
@@ -36,7 +36,7 @@ RATIO = 10
 #: Letter groups, the levels of the trie; a letter's group is its code point's remainder.
 GROUPS = 12
 #: Words of a subtree.
-SUBTREE = 30_000
+SUBTREE = 100_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _ALPHABET = [*map(ord, _LOWER), *range(0xC0, 0x100)]
@@ -71,24 +71,34 @@ def group_counts(word: Column) -> Column:
     return F.array(*counts)
 
 
-def subtree_levels(words: DataFrame, most: int) -> int:
+def level_order(described: DataFrame) -> list[int]:
+    """The groups, those whose counts differ most first: they part the words best."""
+    spread = described.agg(*[F.var_pop(F.col("counts")[g]).alias(str(g)) for g in range(GROUPS)]).first()
+    return sorted(range(GROUPS), key=lambda g: (-(spread[g] or 0.0), g))
+
+
+def upper_counts(order: list[int], levels: int) -> Column:
+    return F.array(*[F.col("counts")[g] for g in order[:levels]]).cast("array<int>")
+
+
+def subtree_levels(described: DataFrame, order: list[int], most: int) -> int:
     """The upper levels that leave no subtree more than ``most`` words; all levels if none do."""
-    levels = F.explode(F.sequence(F.lit(0), F.lit(GROUPS)))
-    vectors = words.groupBy("counts").agg(F.count(F.lit(1)).alias("n")).withColumn("level", levels)
-    sizes = vectors.groupBy("level", F.slice("counts", F.lit(1), F.col("level")).alias("upper")).agg(F.sum("n").alias("n"))
-    largest = {r.level: r.n for r in sizes.groupBy("level").agg(F.max("n").alias("n")).collect()}
-    return next((level for level in range(GROUPS) if largest.get(level, 0) <= most), GROUPS)
+    for levels in range(GROUPS):
+        sizes = described.groupBy(upper_counts(order, levels).alias("upper")).agg(F.count(F.lit(1)).alias("n"))
+        if (sizes.agg(F.max("n")).first()[0] or 0) <= most:
+            return levels
+    return GROUPS
 
 
 class Subtree:
     """The words of a subtree below its upper levels, and the search in it."""
 
-    def __init__(self, levels: int, words: list[str]):
+    def __init__(self, order: list[int], levels: int, words: list[str]):
         self.levels, self.root = levels, {}
+        self.level_of = [order.index(group) for group in range(GROUPS)]
         for word in words:
             node = self.root
-            counts = self.counts(word)
-            for count in counts:
+            for count in self.counts(word):
                 node = node.setdefault(count, {})
             half = len(word) // 2
             node.setdefault(("first", word[:half]), []).append(word)
@@ -98,7 +108,7 @@ class Subtree:
     def counts(self, word: str) -> list[int]:
         counts = [0] * GROUPS
         for letter in word:
-            counts[ord(letter) % GROUPS] += 1
+            counts[self.level_of[ord(letter) % GROUPS]] += 1
         return counts[self.levels:]
 
     def near(self, word: str, surplus: bool, deficit: bool) -> set[str]:
@@ -138,38 +148,43 @@ def one_edit(a: str, b: str) -> bool:
     return a[low + (len(a) == len(b)):] == b[low + 1:]
 
 
-def near_pairs(words: DataFrame, most: int = SUBTREE) -> DataFrame:
-    """``word, other``: each pair of words one edit apart, once.
+def near_pairs(described: DataFrame, most: int = SUBTREE) -> DataFrame:
+    """``word, n, other, other_n``: each pair of words one edit apart, once.
 
-    ``words`` has distinct words in ``word``.
+    ``described`` has distinct words in ``word``, with ``n`` and their ``counts``.
     """
-    described = words.select("word").withColumn("counts", group_counts(F.col("word")))
-    levels = subtree_levels(described, most)
-    upper = F.slice("counts", 1, levels) if levels else F.array().cast("array<int>")
-    living = described.select("word", upper.alias("home"))
-    sizes = living.groupBy(F.col("home").alias("to")).agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("parts"))
+    order = level_order(described)
+    levels = subtree_levels(described, order, most)
+    living = described.select("word", "n", upper_counts(order, levels).alias("home"))
+    too_large = living.groupBy(F.array_join("home", ",").alias("of")).agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("parts")).where("parts > 1")
+    too_large = F.broadcast(too_large)  # fewer rows than words / most
     moves = F.array(*[F.struct(F.lit(up).alias("up"), F.lit(down).alias("down"))
                       for up, down in product(range(-1, levels), repeat=2) if up == -1 or up != down])
-    moved = F.transform("home", lambda count, level: (count + (level == F.col("move.up")).cast("int") - (level == F.col("move.down")).cast("int")))
+    moved = F.transform("home", lambda count, level: count + (level == F.col("move.up")).cast("int") - (level == F.col("move.down")).cast("int"))
     asking = (
-        living.withColumn("move", F.explode(moves))
-        .select("word", "home", moved.alias("to"), (F.col("move.up") < 0).alias("surplus"), (F.col("move.down") < 0).alias("deficit"))
-        .where(F.col("to") >= F.col("home"))
-        .join(sizes, "to")
-        .select("to", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "word",
-                (F.col("to") == F.col("home")).alias("at_home"), "surplus", "deficit")
+        living.withColumn("move", F.explode(moves)).withColumn("target", moved).where(F.col("target") >= F.col("home"))
+        .select("word", "n", F.array_join("target", ",").alias("to"), (F.col("target") == F.col("home")).alias("at_home"),
+                (F.col("move.up") < 0).alias("surplus"), (F.col("move.down") < 0).alias("deficit"))
+        .join(too_large, F.col("to") == F.col("of"), "left")
+        .select("to", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"), "word", "n", "at_home", "surplus", "deficit")
     )
-    lived = living.join(sizes, F.col("home") == F.col("to")).select(
-        F.col("home").alias("subtree"), F.pmod(F.xxhash64("word"), "parts").cast("int").alias("share"), F.col("word").alias("living"))
+    lived = living.select(F.array_join("home", ",").alias("subtree"), F.col("word").alias("living"), F.col("n").alias("living_n"))
+    lived = lived.join(too_large, F.col("subtree") == F.col("of"), "left").select(
+        "subtree", F.pmod(F.xxhash64("living"), F.coalesce("parts", F.lit(1))).cast("int").alias("share"), "living", "living_n")
 
     def met(key: tuple, lived: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
-        tree = Subtree(levels, lived["living"].tolist())
+        tree = Subtree(order, levels, lived["living"].tolist())
+        counts = dict(zip(lived["living"].tolist(), lived["living_n"].tolist()))
         pairs = []
-        for word, at_home, surplus, deficit in zip(*(asking[c].tolist() for c in ("word", "at_home", "surplus", "deficit"))):
-            pairs += [(word, other) for other in tree.near(word, surplus, deficit) if not at_home or other > word]
-        return pd.DataFrame(pairs, columns=["word", "other"], dtype="object")
+        if counts:
+            for word, n, at_home, surplus, deficit in zip(*(asking[c].tolist() for c in ("word", "n", "at_home", "surplus", "deficit"))):
+                pairs += [(word, n, other, counts[other]) for other in tree.near(word, surplus, deficit) if not at_home or other > word]
+        words, ns, others, other_ns = zip(*pairs) if pairs else ((), (), (), ())
+        return pd.DataFrame({"word": pd.Series(words, dtype="object"), "n": pd.Series(ns, dtype="int64"),
+                             "other": pd.Series(others, dtype="object"), "other_n": pd.Series(other_ns, dtype="int64")})
 
-    return lived.groupBy("subtree", "share").cogroup(asking.groupBy("to", "part")).applyInPandas(met, "word string, other string")
+    return lived.groupBy("subtree", "share").cogroup(asking.groupBy("to", "part")).applyInPandas(
+        met, "word string, n long, other string, other_n long")
 
 
 def roots(links: DataFrame, steps: int) -> DataFrame:
@@ -200,19 +215,18 @@ def spelling_variants(words: DataFrame, ratio: int = RATIO, most: int = SUBTREE)
     """
     if ratio < 2:
         raise ValueError("forms must be more frequent than their words")
-    words = stored(words, "words")
-    lowest, highest = words.agg(F.min("n"), F.max("n")).first()
-    pairs = stored(near_pairs(words, most), "near")
-    both = pairs.union(pairs.select(F.col("other").alias("word"), F.col("word").alias("other")))
-    counts = words.select(F.col("word").alias("other"), F.col("n").alias("other_n"))
+    described = stored(words.select("word", "n", group_counts(F.col("word")).alias("counts")), "words")
+    lowest, highest = described.agg(F.min("n"), F.max("n")).first()
+    pairs = stored(near_pairs(described, most), "near")
+    both = pairs.select("word", "other", "other_n").union(pairs.select("other", "word", "n"))
     best = F.min(F.struct((-F.col("other_n")).alias("n"), "other"))
-    near = both.join(counts, "other").groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), best.alias("best"))
+    near = both.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), best.alias("best"))
     follows = -F.col("best.n") >= ratio * F.col("n")
-    formed = stored(words.join(near, "word", "left").select(
+    formed = stored(described.join(near, "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"),
         F.when(follows, F.col("best.other")).alias("form"), F.when(follows, -F.col("best.n")).alias("form_n")), "formed")
     discard(pairs)
-    discard(words)
+    discard(described)
     links = formed.where("form is not null").select("word", "form")
     ends = roots(links, chain_steps(highest or 0, lowest or 1, ratio))
     return formed.join(ends, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
