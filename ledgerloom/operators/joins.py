@@ -74,7 +74,8 @@ def join_with_strategy(left: DataFrame, right: DataFrame, on: str, strategy: str
                        max_bytes: int = MAX_BROADCAST) -> DataFrame:
     """Inner join by a named strategy; the rows are the same whichever is used.
 
-    ``broadcast`` is an error beyond ``max_bytes``, by Spark's estimate of the right side.
+    ``broadcast`` is an error beyond ``max_bytes``, by Spark's estimate of the right side or, where that is
+    higher or missing, by its measured bytes.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")

@@ -11,36 +11,38 @@ from pyspark.sql.types import StringType
 
 from ledgerloom.functions import exact
 from ledgerloom.functions.matching import key_list
-from ledgerloom.functions.positions import DIGIT_BITS, ordinal
-from ledgerloom.operators.ranking import value_runs
+from ledgerloom.functions.positions import with_positions
 
 MAX_ARRAY = 1_000_000
 
 
 def collect_sorted(df: DataFrame, by: str, amount: str, name: str, max_length: int = MAX_ARRAY,
-                   bits: int = DIGIT_BITS) -> DataFrame:
+                   bits: int | None = None) -> DataFrame:
     """``by, slice, NAME``: the group's stored amounts, ascending, in arrays of at most ``max_length``.
 
     Slice ``k`` holds the values in positions ``k * max_length`` and up, so concatenating the slices in
     order gives the whole array.  No task holds more of a group than one slice.  Nulls are left out; a
     group of nulls only has one empty slice.
     """
-    values = df.select(by, F.col(amount).alias("__value")).withColumn("__ordinal", ordinal("__value"))
-    runs = value_runs(values, by, "__ordinal", bits, "__value")
-    end = F.col("before") + F.col("run_rows")
-    first_slice = F.floor(F.col("before") / max_length)
-    last_slice = F.greatest(first_slice, F.floor((end - 1) / max_length))
-    pieces = runs.where("run_rows > 0 OR group_rows = 0").select(
-        by, "__ordinal", "__value", "before", end.alias("end"), F.explode(F.sequence(first_slice, last_slice)).alias("slice")
-    ).select(
-        by, "slice", "__ordinal", "__value",
-        (F.least("end", (F.col("slice") + 1) * max_length)
-         - F.greatest("before", F.col("slice") * max_length)).cast("int").alias("copies"),
-    )
-    sliced = pieces.groupBy(by, "slice").agg(
-        F.array_sort(F.collect_list(F.struct("__ordinal", "__value", "copies"))).alias("runs"))
-    whole = F.flatten(F.transform("runs", lambda run: F.array_repeat(run["__value"], run["copies"])))
-    return sliced.select(by, "slice", whole.alias(name))
+    values = df.select(by, F.col(amount).alias("__value"), F.xxhash64(*df.columns).alias("__tie"))
+    first = with_positions(values, [by], ["__value", "__tie"], "__position", bits=bits)  # nulls come first
+    nulls = values.where("__value IS NULL").groupBy(F.col(by).alias("__of")).agg(F.count(F.lit(1)).alias("__nulls"))
+    placed = first.join(nulls, F.col(by).eqNullSafe(F.col("__of")), "left")
+    place = F.greatest(F.col("__position") - F.coalesce("__nulls", F.lit(0)), F.lit(0))
+    sliced = placed.groupBy(by, F.floor(place / max_length).alias("slice"))
+    return sliced.agg(F.sort_array(F.collect_list("__value")).alias(name))
+
+
+def collect_whole(df: DataFrame, by: str, amount: str, name: str, max_length: int = MAX_ARRAY,
+                  bits: int | None = None) -> DataFrame:
+    """``by, NAME``: one row per group with its amounts, ascending.
+
+    For groups of at most ``max_length`` amounts; a larger one is an error rather than a task that holds
+    it whole.  :func:`collect_sorted` takes groups of any size.
+    """
+    slices = collect_sorted(df, by, amount, name, max_length, bits)
+    too_long = F.raise_error(F.lit(f"a group of over {max_length} values; use collect_sorted"))
+    return slices.select(by, F.when(F.col("slice") == 0, F.col(name)).otherwise(too_long).alias(name))
 
 
 def array_stats(arrays: DataFrame, by: str | Sequence[str], array: str, threshold: float) -> DataFrame:

@@ -1,11 +1,8 @@
 """Ranks, quantiles and picks within groups.
 
-Groups such as an order status hold an unbounded share of the rows, so a window over the raw rows of a
-group would run in one task.  Positions are found from the *runs* of a group instead: one row per
-distinct value, with its row count, so that a hot value is collapsed map-side.  The rows before a run
-are counted digit by digit (``functions.positions``), so that no window is longer than a digit.
-
-Values are compared as stored, through a ``long`` that ascends with them (``positions.ordinal``).
+Groups such as an order status hold an unbounded share of the rows, so a window over the rows of a group
+would run in one task.  Ranks, tiles and percentiles come from positions that are worked out range by range
+(``functions.positions``): one shuffle of the rows, in pieces of even size.  Values are compared as stored.
 """
 
 from __future__ import annotations
@@ -17,9 +14,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import exact
 from ledgerloom.functions.matching import key_list, null_safe_join
-from ledgerloom.functions.positions import DIGIT_BITS, long_digits, ordinal, with_sums_before
+from ledgerloom.functions.positions import RANGE, SHARED, carried, in_ranges, with_carried, with_positions
 
-LOWEST = -(1 << 63)
+#: Relative rank error of approximate percentiles is one in this many rows.
+ACCURACY = 10_000
 
 _RANKS = {"row_number": F.row_number, "dense": F.dense_rank, "rank": F.rank}
 
@@ -36,7 +34,7 @@ def top_n_per_group(df: DataFrame, by: str | Sequence[str], order: Sequence[Colu
     return ranked.withColumn(name, F.col(name).cast("long"))
 
 
-def value_runs(df: DataFrame, by: str | Sequence[str], ordinal: str, bits: int = DIGIT_BITS,
+def value_runs(df: DataFrame, by: str | Sequence[str], ordinal: str, bits: int | None = None,
                value: str | None = None) -> DataFrame:
     """``by, ordinal, run_rows, group_rows, before``: one row per distinct ordinal of a group.
 
@@ -46,105 +44,82 @@ def value_runs(df: DataFrame, by: str | Sequence[str], ordinal: str, bits: int =
     """
     by, kept = key_list(by), [value] if value else []
     runs = df.groupBy(*by, ordinal).agg(F.count(ordinal).alias("run_rows"), *[F.max(v).alias(v) for v in kept])
-    placed = with_sums_before(runs, by, long_digits(ordinal, "value", bits), [ordinal], {"before": F.col("run_rows")})
-    groups = runs.groupBy(*by).agg(F.sum("run_rows").alias("group_rows"))
-    return null_safe_join(placed, groups, by).select(*by, ordinal, "run_rows", "group_rows", "before", *kept)
+    ranged = in_ranges(runs, by, [ordinal], bits=bits)
+    inside = Window.partitionBy(*by, RANGE)
+    earlier = inside.orderBy(ordinal).rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumns({
+        "before": F.coalesce(F.sum("run_rows").over(earlier), F.lit(0)), "group_rows": F.sum("run_rows").over(inside)})
+    found = with_carried(placed, carried(ranged, by, {"__n": F.col("run_rows")}), by)
+    return found.select(
+        *by, ordinal, "run_rows", F.coalesce("__n_all", "group_rows").alias("group_rows"),
+        (F.col("before") + F.coalesce("__n_before", F.lit(0))).alias("before"), *kept)
 
 
-def _with_ordinal(df: DataFrame, amount: Column | str) -> DataFrame:
-    """Nulls order first, as in an ascending window."""
-    return df.withColumn("__ordinal", F.coalesce(ordinal(amount), F.lit(LOWEST)))
+def _with_tie(df: DataFrame) -> DataFrame:
+    """Rows of one value are told apart by a hash, so that they can lie in several ranges."""
+    return df.withColumn("__tie", F.xxhash64(*df.columns))
 
 
 def percent_rank_by(df: DataFrame, by: str | Sequence[str], amount: str, digits: int = 4,
-                    name: str = "pct_rank", bits: int = DIGIT_BITS) -> DataFrame:
-    """``percent_rank`` of a numeric column within the group, on every row."""
-    by = key_list(by)
-    rows = _with_ordinal(df, amount)
-    runs = value_runs(rows.select(*by, "__ordinal"), by, "__ordinal", bits)
-    share = F.when(F.col("group_rows") > 1, F.col("before") / (F.col("group_rows") - 1)).otherwise(F.lit(0.0))
-    ranks = runs.select(*by, "__ordinal", exact.half_up(share, digits).alias(name))
-    return null_safe_join(rows, ranks, [*by, "__ordinal"]).drop("__ordinal")
-
-
-def _tile_starts(n: int) -> Column:
-    """Of a run, the tiles whose first row lies in it, with the rows of the run left to skip."""
-    size, extra = F.floor(F.col("group_rows") / n), F.col("group_rows") % n
-    longer = extra * (size + 1)
-
-    def tile_of(position: Column) -> Column:
-        later = extra + F.floor((position - longer) / F.greatest(size, F.lit(1)))
-        return F.when(position < longer, F.floor(position / (size + 1))).otherwise(later) + 1
+                    name: str = "pct_rank", bits: int | None = None) -> DataFrame:
+    """``percent_rank`` of an orderable column within the group, on every row.
 
-    before, end = F.col("before"), F.col("before") + F.col("run_rows")
-    first = F.when(before == 0, 2).otherwise(tile_of(before - 1) + 1)
-    last = tile_of(end - 1)
-    starts = F.transform(F.sequence(first, last), lambda tile: F.struct(
-        tile.alias("tile"), ((tile - 1) * size + F.least(tile - 1, extra) - before).alias("skip")))
-    return F.when(first <= last, starts)
-
-
-def ntile_by(df: DataFrame, by: str | Sequence[str], amount: str, key: str, n: int, name: str = "tile",
-             bits: int = DIGIT_BITS) -> DataFrame:
-    """``ntile(n)`` over (amount, key) within the group; ``key`` is a unique ``long``.
-
-    Only the first row of each tile has to be located: first the run it lies in, then its place by key
-    among the rows of that run.  Every row finds its tile by comparing itself with the ``n - 1`` first
-    rows of its group, without being moved or sorted.
+    A value that lies in several ranges has ranges of its own; all of them take the rank of the first.
     """
     by = key_list(by)
-    rows = _with_ordinal(df, amount)
-    keyed = rows.select(*by, "__ordinal", F.col(key).alias("__row_key"))
-    starts = (
-        value_runs(keyed, by, "__ordinal", bits)
-        .select(*by, "__ordinal", F.transform(_tile_starts(n), lambda start: start["skip"]).alias("__skips"))
-        .where(F.col("__skips").isNotNull())
-    )
-    near = null_safe_join(keyed, starts, [*by, "__ordinal"])
-    one = F.lit(1).cast("long")
-    placed = with_sums_before(near, [*by, "__ordinal"], long_digits("__row_key", "key", bits), ["__row_key"], {"__place": one})
-    cuts = (
-        placed.where(F.array_contains("__skips", F.col("__place")))
-        .groupBy(*by)
-        .agg(F.collect_list(F.struct("__ordinal", "__row_key")).alias("__cuts"))
-    )
+    ranged = in_ranges(_with_tie(df), by, [amount, "__tie"], ties=[amount], bits=bits)
+    inside = Window.partitionBy(*by, RANGE)
+    local = ranged.withColumns({
+        "__rank": F.rank().over(inside.orderBy(amount)) - 1, "__count": F.count(F.lit(1)).over(inside)})
+    shared = carried(ranged, by, {"__n": F.lit(1)}, {"__value": F.min(amount)})
+    run = Window.partitionBy(*by, "__value", F.col(RANGE) % 3 == 1)
+    first = F.when(F.col(RANGE) % 3 == 1, F.col("__n_before")).otherwise(F.min("__n_before").over(run))
+    found = with_carried(local, shared.select(*by, RANGE, first.alias("__first"), "__n_all"), by)
+    before, rows = F.col("__rank") + F.coalesce("__first", F.lit(0)), F.coalesce("__n_all", "__count")
+    share = F.when(rows > 1, before / (rows - 1)).otherwise(F.lit(0.0))
+    return found.withColumn(name, exact.half_up(share, digits)).select(*df.columns, name)
 
-    def reached(cut: Column) -> Column:
-        same = (cut["__ordinal"] == F.col("__ordinal")) & (cut["__row_key"] <= F.col(key))
-        return (cut["__ordinal"] < F.col("__ordinal")) | same
 
-    passed = F.coalesce(F.size(F.filter("__cuts", reached)), F.lit(0))
-    return (
-        null_safe_join(rows, cuts, by, "left")
-        .withColumn(name, (passed + 1).cast("long"))
-        .drop("__ordinal", "__cuts")
-    )
+def ntile_by(df: DataFrame, by: str | Sequence[str], amount: str, key: str, n: int, name: str = "tile",
+             bits: int | None = None) -> DataFrame:
+    """``ntile(n)`` over (amount, key) within the group; ``key`` is unique."""
+    placed = with_positions(df, key_list(by), [amount, key], "__position", "__rows", bits)
+    size, extra = F.floor(F.col("__rows") / n), F.col("__rows") % n
+    longer = extra * (size + 1)
+    later = extra + F.floor((F.col("__position") - longer) / F.greatest(size, F.lit(1)))
+    tile = F.when(F.col("__position") < longer, F.floor(F.col("__position") / (size + 1))).otherwise(later) + 1
+    return placed.withColumn(name, tile.cast("long")).select(*df.columns, name)
 
 
 def percentiles_by(df: DataFrame, by: str | Sequence[str], amount: Column | str, percents: dict[str, float],
-                   digits: int = 2, bits: int = DIGIT_BITS) -> DataFrame:
+                   digits: int = 2, bits: int | None = None) -> DataFrame:
     """Exact interpolated percentiles of a numeric column; ``percents`` maps output name to fraction.
 
-    Nulls are left out, as ``percentile_cont`` does; a group of nulls only has null percentiles.
+    Nulls are left out, as ``percentile_cont`` does; a group of nulls only has null percentiles.  Rows are
+    counted per range first; only rows of the ranges that hold a wanted position are shuffled and sorted.
     """
     by = key_list(by)
-    values = df.select(*by, exact.as_column(amount).cast("double").alias("__value")).withColumn("__ordinal", ordinal("__value"))
-    runs = value_runs(values, by, "__ordinal", bits, "__value")
-    last = F.col("before") + F.col("run_rows") - 1
-
-    def at(position: Column) -> Column:
-        held = (F.col("before") <= position) & (position <= last)
-        return F.max(F.when(held, F.col("__value")))
-
+    values = _with_tie(df).select(*by, exact.as_column(amount).alias("__value"), "__tie")
+    ranged = in_ranges(values, by, ["__value", "__tie"], bits=bits)
+    group = Window.partitionBy(*by)
+    earlier = group.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy(*by, RANGE).agg(F.count("__value").alias("__here")).withColumns({
+        "__before": F.coalesce(F.sum("__here").over(earlier), F.lit(0)), "__rows": F.sum("__here").over(group)})
+    targets = {name: F.lit(fraction) * (F.col("__rows") - 1) for name, fraction in percents.items()}
+    wanted = F.array_distinct(F.array(*[end(target).cast("long") for target in targets.values() for end in (F.floor, F.ceil)]))
+    held = F.filter(wanted, lambda p: (p >= F.col("__before")) & (p < F.col("__before") + F.col("__here")))
+    holding = counts.withColumn("__wanted", held).where((F.size("__wanted") > 0) | ((F.col("__rows") == 0)))
+    near = null_safe_join(ranged.drop(SHARED), holding, [*by, RANGE])
+    place = Window.partitionBy(*by, RANGE).orderBy(F.col("__value").asc_nulls_last())
+    placed = near.withColumn("__position", F.col("__before") + F.row_number().over(place) - 1)
+    picked = placed.where((F.col("__rows") == 0) | F.array_contains("__wanted", F.col("__position")))
     picks = []
-    for name, fraction in percents.items():
-        target = F.lit(fraction) * (F.col("group_rows") - 1)
-        picks += [
-            at(F.floor(target)).alias(f"{name}_low"),
-            at(F.ceil(target)).alias(f"{name}_high"),
-            F.max(target - F.floor(target)).alias(f"{name}_part"),
-        ]
-    found = runs.groupBy(*by).agg(*picks)
+    for name, target in targets.items():
+        for end, side in ((F.floor, "low"), (F.ceil, "high")):
+            value = F.when(F.col("__position") == end(target).cast("long"), F.col("__value").cast("double"))
+            picks.append(F.max(value).alias(f"{name}_{side}"))
+        picks.append(F.max(target - F.floor(target)).alias(f"{name}_part"))
+    found = picked.groupBy(*by).agg(*picks)
     return found.select(*by, *[
         exact.half_up(
             F.col(f"{name}_low") + (F.col(f"{name}_high") - F.col(f"{name}_low")) * F.col(f"{name}_part"), digits
@@ -153,6 +128,18 @@ def percentiles_by(df: DataFrame, by: str | Sequence[str], amount: Column | str,
     ])
 
 
+def approx_percentiles_by(df: DataFrame, by: str | Sequence[str], amount: Column | str, percents: dict[str, float],
+                          accuracy: int = ACCURACY) -> DataFrame:
+    """Percentiles that are stored values, from a sketch of bounded size per group, in one pass.
+
+    The rank of the value found is off by at most ``rows / accuracy``; with at least as much accuracy as a
+    group has rows it is the smallest value that so many rows do not exceed.
+    """
+    by, column = key_list(by), exact.as_column(amount)
+    found = df.groupBy(*by).agg(F.percentile_approx(column, list(percents.values()), accuracy).alias("__found"))
+    return found.select(*by, *[F.col("__found")[k].alias(name) for k, name in enumerate(percents)])
+
+
 def latest_per_key(df: DataFrame, key: str, order: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """The row with the greatest ``order`` per key, as one aggregate.
 

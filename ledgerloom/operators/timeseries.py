@@ -1,9 +1,9 @@
 """Running, moving and calendar computations.
 
 Windows here run over rows already reduced to calendar periods, whose number does not grow with the
-data.  The two that must work row by row (running balance, moving mean) take the sums or the number of
-the rows before a row from ``functions.positions``, day by day and then by ranges of row ids, so that a
-key of any size is spread over many tasks.
+data.  The two that must work row by row (running balance, moving mean) work range by range
+(``functions.positions``), so that a key of any size is spread over many tasks: one takes over the sums of the
+earlier ranges of a key, the other its last rows.
 """
 
 from __future__ import annotations
@@ -15,9 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import exact
 from ledgerloom.functions.matching import key_list
-from ledgerloom.functions.positions import DIGIT_BITS, long_digits, with_sums_before
-
-SEGMENT_ROWS = 1 << 16
+from ledgerloom.functions.positions import RANGE, SHARED, carried, in_ranges, with_carried
 
 
 def period_totals(df: DataFrame, period: Column, amount: Column | str, period_name: str, name: str,
@@ -126,36 +124,46 @@ def anomalies(periods: DataFrame, count_name: str, k: float) -> DataFrame:
 
 
 def running_balance(df: DataFrame, key: str, day: str, row_id: str, amount: Column, name: str = "running_balance",
-                    bits: int = DIGIT_BITS) -> DataFrame:
-    """Cumulative signed amount per key in (day, row id) order; ``row_id`` is a unique ``long``.
+                    bits: int | None = None) -> DataFrame:
+    """Cumulative signed amount per key in (day, row id) order; ``row_id`` is unique.
 
     Null keys are one key and null days come first.  The balance is null until the first amount.
     """
-    valued = df.withColumn("__cents", exact.cents(amount))
-    digits = {"__day": F.col(day), **long_digits(row_id, "id", bits)}
-    seen = F.col("__cents").isNotNull().cast("long")
-    placed = with_sums_before(valued, [key], digits, [row_id], {"__carried": F.col("__cents"), "__seen": seen})
-    balance = F.when((F.col("__seen") > 0) | F.col("__cents").isNotNull(), F.col("__carried") + F.coalesce("__cents", F.lit(0)))
-    return placed.withColumn(name, exact.from_cents(balance)).select(*df.columns, name)
+    ranged = in_ranges(df.withColumn("__cents", exact.cents(amount)), [key], [day, row_id], bits=bits)
+    window = Window.partitionBy(key, RANGE).orderBy(day, row_id).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = ranged.withColumns({"__sum": F.sum("__cents").over(window), "__count": F.count("__cents").over(window)})
+    before = carried(ranged, [key], {"__c": F.coalesce("__cents", F.lit(0)), "__k": F.col("__cents").isNotNull().cast("long")})
+    found = with_carried(summed, before.select(key, RANGE, "__c_before", "__k_before"), [key])
+    seen = F.col("__count") + F.coalesce("__k_before", F.lit(0))
+    balance = F.when(seen > 0, F.coalesce("__sum", F.lit(0)) + F.coalesce("__c_before", F.lit(0)))
+    return found.withColumn(name, exact.from_cents(balance)).select(*df.columns, name)
 
 
 def moving_mean(df: DataFrame, key: str, day: str, row_id: str, amount: str, rows: int, name: str,
-                segment_rows: int = SEGMENT_ROWS, bits: int = DIGIT_BITS) -> DataFrame:
-    """Mean of the last ``rows`` rows of the key, in (day, row id) order; ``row_id`` is a unique ``long``.
+                segment_rows: int | None = None, bits: int | None = None) -> DataFrame:
+    """Mean of the last ``rows`` rows of the key, in (day, row id) order; ``row_id`` is unique.
 
-    Rows are numbered within the key and cut into segments of ``segment_rows``.  The last ``rows - 1``
-    rows of a segment are copied into the next one, take part in its frames, and are then removed.
+    Each range takes part in the frames with the last ``rows - 1`` rows of the key that lie before it, be they in
+    one earlier range or in several.  ``segment_rows`` is how many rows a range holds, about; by
+    default ``bits`` says how many ranges there are.
     """
-    if segment_rows < rows:
-        raise ValueError("a segment must hold a frame")
-    digits = {"__day": F.col(day), **long_digits(row_id, "id", bits)}
-    numbered = with_sums_before(df, [key], digits, [row_id], {"__place": F.lit(1).cast("long")})
-    segment, inside = F.floor(F.col("__place") / segment_rows), F.col("__place") % segment_rows
-    own = F.struct(segment.alias("number"), F.lit(False).alias("copy"))
-    carried = F.struct((segment + 1).alias("number"), F.lit(True).alias("copy"))
-    held = F.when(inside >= segment_rows - (rows - 1), F.array(own, carried)).otherwise(F.array(own))
-    everything = numbered.withColumn("__in", F.explode(held))
-    frame = Window.partitionBy(key, "__in.number").orderBy("__place").rowsBetween(-(rows - 1), Window.currentRow)
+    if segment_rows is not None:
+        if segment_rows < rows:
+            raise ValueError("a segment must hold a frame")
+        bits = max(df.count() // segment_rows, 1).bit_length() if bits is None else bits
+    ranged = in_ranges(df, [key], [day, row_id], bits=bits)
+    everything = ranged.select(*df.columns, RANGE, F.lit(False).alias("__copy"))
+    if rows > 1:
+        following = Window.partitionBy(key).orderBy(RANGE).rowsBetween(1, rows - 1)
+        shared = carried(ranged, [key], {"__n": F.lit(1)}).withColumn(
+            "__later", F.collect_list(F.struct(F.col(RANGE).alias("range"), F.col("__n_before").alias("before"))).over(following))
+        from_end = Window.partitionBy(key, RANGE).orderBy(F.desc(day), F.desc(row_id))
+        last = ranged.where(SHARED).withColumn("__back", F.row_number().over(from_end)).where(F.col("__back") < rows)
+        place = F.col("__n_before") + F.col("__n_here") - F.col("__back")
+        reached = F.filter("__later", lambda later: later["before"] - place < rows)
+        copies = with_carried(last, shared, [key], "inner").withColumn("__to", F.explode(reached))
+        everything = everything.union(copies.select(*df.columns, "__to.range", F.lit(True)))
+    frame = Window.partitionBy(key, RANGE).orderBy(day, row_id).rowsBetween(-(rows - 1), Window.currentRow)
     total = exact.from_cents(F.sum(exact.cents(amount)).over(frame))
     mean = exact.half_up(F.try_divide(total, F.count(amount).over(frame)), 2)
-    return everything.withColumn(name, mean).where(~F.col("__in.copy")).select(*df.columns, name)
+    return everything.withColumn(name, mean).where("NOT __copy").select(*df.columns, name)

@@ -379,6 +379,12 @@ def amount_arrays(t: Tables) -> DataFrame:
     return _amounts(t)
 
 
+@query("commerce_7_1_amount_arrays_whole", "customer_id", """
+    SELECT o_custkey AS customer_id, list(o_totalprice ORDER BY o_totalprice) AS amounts FROM orders GROUP BY 1""")
+def amount_arrays_whole(t: Tables) -> DataFrame:
+    return nested.collect_whole(t.orders, "customer_id", "total_amount", "amounts")
+
+
 @query("commerce_7_2_array_stats", "customer_id", SQL_STATS)
 def array_stats(t: Tables) -> DataFrame:
     return nested.array_stats(_amounts(t), "customer_id", "amounts", 250000.0)
