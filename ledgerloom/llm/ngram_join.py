@@ -44,7 +44,7 @@ from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 from ledgerloom.llm.components import components
 from ledgerloom.llm.shared import checkpointed, discard, stored
 from ledgerloom.llm.text_maps import ROWS
-from ledgerloom.llm.vocabularies import hold
+from ledgerloom.llm.vocabularies import hold, release
 
 SHINGLE = 4
 SIMILARITY = 85  # percent
@@ -245,6 +245,7 @@ def _late(nodes: DataFrame, frequent: DataFrame) -> DataFrame:
     field = _field_of(frequent.select(F.col("shingle").alias("id")), hashed=False)
 
     def suspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             lists = batch.column(1)
             hashes = np.asarray(lists.flatten(), np.int64)

@@ -15,6 +15,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -23,6 +24,7 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, St
 
 from ledgerloom.llm.shared import stored
 from ledgerloom.llm.text_maps import ROWS
+from ledgerloom.llm.vocabularies import release
 
 LENGTH = 4096
 END = 2
@@ -37,8 +39,10 @@ def _tokenizing(vocabulary: str, end: int) -> Callable[[Iterator[pa.RecordBatch]
 
         encode, last, part, before = text_ids(vocabulary), end.to_bytes(WIDTH, "little"), TaskContext.get().partitionId(), 0
         for batch in (whole.slice(low, ROWS) for whole in batches for low in range(0, whole.num_rows, ROWS)):
-            ids = [encode(text or "") + last for text in batch.column(1).to_pylist()]
-            counts = [len(x) // WIDTH for x in ids]
+            tokens, sizes = encode.of_all(batch.column(1))
+            ends = np.cumsum(sizes)
+            ids = [tokens[low:high].tobytes() + last for low, high in zip(ends - sizes, ends)]
+            counts = (sizes + 1).tolist()
             places = []
             for count in counts:
                 places.append(before)
@@ -53,6 +57,7 @@ def _tokenizing(vocabulary: str, end: int) -> Callable[[Iterator[pa.RecordBatch]
 
 def _cutting(length: int, with_ids: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             rows, starts, sizes, sums, places, pieces = [], [], [], [], [], []
             for row, (place, count, ids) in enumerate(zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)))):

@@ -26,7 +26,7 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField
 from ledgerloom.llm import ngram_join
 from ledgerloom.llm.shared import WORD
 from ledgerloom.llm.text_maps import ROWS, map_texts
-from ledgerloom.llm.vocabularies import hold
+from ledgerloom.llm.vocabularies import release
 
 BUCKETS = 1 << 16
 #: Added to the count of each bucket.
@@ -75,7 +75,7 @@ def bucket_counts(docs: DataFrame, text: str) -> DataFrame:
     """``bucket, n`` over all texts: each task sums up its own, then the tasks are added up."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hold("nothing of the stages before")
+        release()
         total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for _, run in (line for low in range(0, batch.num_rows, ROWS) for line in lines(batch.column(0).slice(low, ROWS).to_pylist())):
@@ -110,6 +110,7 @@ def trusted_documents(docs: DataFrame, labels: DataFrame, row_id: str = "doc_id"
         """The rows in one field, and in or not in another one."""
 
         def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            release()
             for batch in batches:
                 hit = ngram_join._in_field(inside, batch.column(0)) & (ngram_join._in_field(other, batch.column(0)) == in_other)
                 yield pa.record_batch(batch.columns[1:], names=batch.schema.names[1:]).filter(pa.array(hit))

@@ -31,6 +31,7 @@ from pyspark.sql.types import BinaryType, DoubleType, IntegerType, StructField,
 
 from ledgerloom.llm.shared import WORD, stored
 from ledgerloom.llm.text_maps import map_texts
+from ledgerloom.llm.vocabularies import release
 
 #: How far a class covariance moves to the pooled one, and then to a multiple of the unit matrix.
 TO_POOLED, TO_UNIT = 0.7, 0.1
@@ -122,6 +123,7 @@ def class_sums(rows: DataFrame) -> dict[int, np.ndarray]:
     width = len(NAMES) + 1
 
     def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release()
         for batch in batches:
             for label, part in batch.groupby("label"):
                 x = _matrix(part["statistics"].tolist())

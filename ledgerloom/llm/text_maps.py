@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from ledgerloom.llm.vocabularies import hold
+from ledgerloom.llm.vocabularies import release
 
 #: Rows of a batch worked on at once.
 ROWS = 1000
@@ -28,7 +28,7 @@ def map_texts(docs: DataFrame, text: str, fields: list[StructField], make: Calla
     schema = StructType([*(StructField(f"__{k}", docs.schema[c].dataType) for k, c in enumerate(others)), *fields])
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hold("nothing of the stages before")
+        release()
         compute = make()
         for whole in batches:
             for low in range(0, whole.num_rows, ROWS):

@@ -6,11 +6,15 @@ which every executor has.
 
 from __future__ import annotations
 
+import ctypes
 import json
 from array import array
 from collections.abc import Callable, Hashable
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 from ledgerloom.llm.shared import WORD
@@ -40,11 +44,26 @@ _held: dict[Hashable, Any] = {}
 def hold(key: Hashable, make: Callable[[], Any] = lambda: None) -> Any:
     """What ``make`` gives, kept for later tasks of this worker; only what was asked for last is kept."""
     if key not in _held:
-        _held.clear()
+        if _held:
+            _held.clear()
+            _give_back()
         _held[key] = make()
     return _held[key]
 
 
+def release() -> None:
+    """Lets go of what the worker holds: for the start of a task that needs nothing of it."""
+    hold("nothing of the stages before")
+
+
+def _give_back() -> None:
+    """Returns freed memory to the system, which also runs the JVM of the executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class Memo(dict):
     """A function remembered for the first ``MEMO_ENTRIES`` arguments it meets."""
 
@@ -78,8 +97,8 @@ class TextIds:
         splits = (rules["pre_tokenizer"] or {}).get("pretokenizers", [])
         self.by_word = steps == ["NFC", "Replace", "Lowercase"] and [s["type"] for s in splits] == ["Split", "ByteLevel"] and splits[0]["invert"]
         if self.by_word:
-            self.pattern = regex.compile(splits[0]["pattern"]["Regex"])
             self.find_words = regex.compile(WORD).findall
+            self.pattern = regex.compile(splits[0]["pattern"]["Regex"])
             self.plain = regex.compile(r"[!-;=-~\xA1-įı-˿]+").fullmatch  # no "<": it opens special tokens
             self.letters = dict(enumerate(byte_letters()))
             self.pieces = Memo(self._piece)
@@ -102,6 +121,25 @@ class TextIds:
             return b"".join(map(self.words.__getitem__, self.find_words(text)))
         return self._encoded(text)
 
+    def of_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and how many each text has; a null text has none.
+
+        Each distinct word is looked up once.
+        """
+        if not self.by_word:
+            found = [np.frombuffer(self._encoded(text or ""), np.uint32) for text in texts.to_pylist()]
+            return np.concatenate([np.zeros(0, np.uint32), *found]), np.array([len(ids) for ids in found], np.int64)
+        lists = pc.ascii_split_whitespace(texts.fill_null(""))
+        words = lists.flatten().dictionary_encode()
+        known = list(map(self.words.__getitem__, words.dictionary.to_pylist()))
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        codes = words.indices.to_numpy(zero_copy_only=False)
+        counts = sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        places = np.repeat((np.cumsum(sizes) - sizes)[codes] - ends[:-1], counts) + np.arange(ends[-1])
+        borders = ends[np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])]
+        return np.frombuffer(b"".join(known), np.uint32)[places], np.diff(borders)
+
 
 def text_ids(name: str) -> TextIds:
     return hold(("ids", name), lambda: TextIds(resolve(name)))
