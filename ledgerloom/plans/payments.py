@@ -290,15 +290,15 @@ def latest_txn_per_account(t: Tables) -> DataFrame:
         purchases, "account_id", ["txn_date", "txn_id"], ["txn_id", "txn_date", "amount", "txn_type"])
 
 
-@query("payments_4_3_high_value_users", "-total_debit user_id", f"""
-    WITH summary AS (
-      SELECT o_custkey AS user_id, count(*) AS txn_count,
-             {sql_money("CASE WHEN l_linestatus = 'F' AND l_returnflag = 'N' THEN l_extendedprice ELSE 0 END")}
-               AS total_debit
-      FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F' GROUP BY o_custkey)
-    SELECT user_id, c_name AS name, c_mktsegment AS tier, n_name AS country, txn_count, total_debit
-    FROM summary JOIN customer ON c_custkey = user_id JOIN nation ON c_nationkey = n_nationkey
-    WHERE total_debit > (SELECT avg(total_debit) * 2 FROM summary)""")
+@query("payments_4_3_high_value_users", "-total_debit user_id", """
+    SELECT c_custkey AS user_id, c_name AS name, c_mktsegment AS tier, n_name AS country, txn_count,
+           cast(debit AS double) AS total_debit
+    FROM (SELECT o_custkey, count(l_orderkey) AS txn_count, cast(coalesce(sum(cast(l_extendedprice AS decimal(18,2)))
+                 FILTER (l_linestatus = 'F' AND l_returnflag = 'N'), 0) AS decimal(24,2)) AS debit
+          FROM lineitem JOIN (SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F') ON l_orderkey = o_orderkey
+          GROUP BY o_custkey
+          QUALIFY debit * cast(count(*) OVER () AS decimal(10,0)) > 2 * sum(debit) OVER ()) AS spenders
+    JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey""")
 def high_value_users(t: Tables) -> DataFrame:
     active = t.accounts.where(F.col("status") == ACCOUNT_ACTIVE)
     per_account = aggregates.totals_by_key(t.txns, "account_id", "amount", when=_is_debit() & _is_completed())
@@ -365,11 +365,10 @@ def first_txn_cohorts(t: Tables) -> DataFrame:
 
 
 @query("payments_5_3_activity_gaps", "-gap_days account_id gap_start", """
-    WITH ordered AS (
-      SELECT o_custkey AS account_id, cast(o_orderdate AS date) AS gap_end,
-             lag(cast(o_orderdate AS date)) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS gap_start
-      FROM orders)
-    SELECT account_id, gap_start, gap_end, gap_end - gap_start AS gap_days FROM ordered WHERE gap_end - gap_start > 30""")
+    WITH active AS (SELECT DISTINCT o_custkey AS who, cast(o_orderdate AS date) AS day FROM orders)
+    SELECT here.who AS account_id, here.day AS gap_start, min(later.day) AS gap_end, min(later.day) - here.day AS gap_days
+    FROM active AS here JOIN active AS later ON later.who = here.who AND later.day > here.day
+    GROUP BY here.who, here.day HAVING min(later.day) - here.day > 30""")
 def activity_gaps(t: Tables) -> DataFrame:
     opened = t.accounts.select(F.col("user_id").alias("account_id"), "opened_date")
     return timeseries.gaps(opened, "account_id", "opened_date", 30)
@@ -394,13 +393,14 @@ def yearly_change_per_category(t: Tables) -> DataFrame:
 
 
 @query("payments_5_5_busy_days", "-daily_count txn_date", f"""
-    WITH daily AS (
-      SELECT cast(o_orderdate AS date) AS txn_date, count(*) AS daily_count, {sql_money("o_totalprice")} AS daily_amount
-      FROM orders GROUP BY 1),
-    stats AS (SELECT avg(daily_count) AS mean, stddev_samp(daily_count) AS deviation FROM daily),
-    shown AS (SELECT {sql_round("mean", 2)} AS mean_daily_count, {sql_round("deviation", 2)} AS std_daily_count FROM stats)
-    SELECT daily.*, mean_daily_count, std_daily_count FROM daily, shown
-    WHERE daily_count > mean_daily_count + 2 * std_daily_count""")
+    WITH moments AS (
+      SELECT {sql_round("sum(c) / count(*)", 2)} AS mean_daily_count,
+             {sql_round("sqrt((sum(c * c) - sum(c) * sum(c) / count(*)) / (count(*) - 1))", 2)} AS std_daily_count
+      FROM (SELECT count(*) AS c FROM orders GROUP BY cast(o_orderdate AS date)))
+    SELECT cast(o_orderdate AS date) AS txn_date, count(*) AS daily_count, {sql_money("o_totalprice")} AS daily_amount,
+           any_value(mean_daily_count) AS mean_daily_count, any_value(std_daily_count) AS std_daily_count
+    FROM orders, moments GROUP BY 1
+    HAVING count(*) > any_value(mean_daily_count) + 2 * any_value(std_daily_count)""")
 def busy_days(t: Tables) -> DataFrame:
     daily = timeseries.period_totals(
         t.orders, F.col("order_date"), "total_amount", "txn_date", "daily_amount", count_name="daily_count")
