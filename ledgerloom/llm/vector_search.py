@@ -1,45 +1,53 @@
 """Exact top-k search by inner product in a paged metric tree.
 
-The tree has three levels.  The upper one has a bounded number of pivots; a pivot's vectors are
-dealt over groups of bounded size, however many there are, and a group over leaf pages.  Each node
-stores its centre, its covering radius and its distance to its parent's centre; a member stores its
-distance to the page's centre.  With ``|x - c| <= r`` the inner product of ``q`` and ``x`` is at most
-``q.c + |q| r``, and by the triangle inequality ``q.c`` itself is at most ``q.p + |q| d(c, p)``.  So a
-query opens nodes best bound first and leaves out, often without computing any product, what cannot
-reach its k-th best score.
-
-Every query is first searched in one group of its nearest pivot.  The k-th score found there decides
-which pivots it must visit; it then meets all groups of these, in a task per group and block of
-queries, and the best of all groups are merged.  Bounds are widened by more than rounding error.
-Scores are integers, hence exact.
+The tree grows downwards by distance alone.  A node with more than ``GROUP`` vectors is split: some of
+its members, more of them the larger it is, become the centres of its children, and every member goes
+to the nearest.  What is small enough, or cannot be told apart by distance, is a leaf, whose members
+lie in pages of at most ``PAGE``.  Every node and page stores its covering radius and the distance of
+its centre to its parent's centre; a member stores its distance to the page's centre.  With
+``|x - c| <= r`` the inner product of ``q`` and ``x`` is at most ``q.c + |q| r``, and ``q.c`` itself is
+at most ``q.p + |q| d(c, p)`` by the triangle inequality, so that most nodes which cannot reach a
+query's k-th best score are left out before any product with their centre is worked out.
+
+Every query is first searched in a few leaves of the nearest centres.  The k-th score found there
+prunes its way down the tree, level by level as joins of queries and children.  A leaf then answers a
+block of queries at once: pages are opened best bound first, a few at a time, and one matrix product
+serves all queries of the block.  So where the bounds rule out nothing, the cost is that of blocked
+products.  Bounds are widened by more than rounding error.  Scores are integers, hence exact.
 
 Edge cases: vectors that are null or hold nulls or non-finite numbers take no part, nor do queries
-without an id; an empty vector scores 0; a vector meets only those of its own length; repeated rows
-are candidates of their own, except that no row with the query's id is a candidate; repeated queries
-are one query; ties go to the smaller id.
+or candidates without an id; an empty vector scores 0; a vector meets only those of its own length;
+repeated rows are candidates of their own, except that no row with the query's id is a candidate;
+repeated queries are one query; ties go to the smaller id; an empty table gives no rows; columns other
+than the id and the vector are not read, so their names may clash with those of the result.
 """
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import stored
+from ledgerloom.llm.shared import discard, stored
 
-PIVOTS = 64
+#: Most children of a node, and most levels of splits; a node beyond these is dealt over several groups.
+PIVOTS, LEVELS = 64, 12
 #: Vectors of a group, members of a leaf page, and queries of a block: bounds of what a task holds.
 GROUP, PAGE, BLOCK = 4096, 64, 4096
+#: Members that meet a block in one product, and leaves that a query is first searched in.
+CHUNK, SEEDS = 512, 3
 SCALE = 256
 #: Widening of bounds, relative to the sizes of the numbers compared.
 SLACK = 1e-9
+#: Products below this are exact as doubles.
+EXACT = float(1 << 53)
 
-_PAGES = "pivot int, part int, vec_ids binary, vectors binary, distances binary, centre binary, radius double, to_parent double"
+_PAGES = "path string, part int, vec_ids binary, vectors binary, distances binary, centre binary, radius double, to_parent double"
 
 
 def integer_vectors(table: DataFrame, row_id: str, vector: str) -> DataFrame:
@@ -47,169 +55,265 @@ def integer_vectors(table: DataFrame, row_id: str, vector: str) -> DataFrame:
     x = F.col(vector)
     sound = x.isNotNull() & ~F.exists(x, lambda v: v.isNull() | F.isnan(v.cast("double")) | (F.abs(v.cast("double")) == float("inf")))
     ints = F.transform(x, lambda v: F.floor(v.cast("double") * SCALE).cast("long"))
-    return table.where(F.coalesce(sound, F.lit(False))).select(F.col(row_id).cast("long").alias("vec_id"), ints.alias("ints"))
+    known = table.where(F.coalesce(sound, F.lit(False)) & F.col(row_id).isNotNull())
+    return known.select(F.col(row_id).cast("long").alias("vec_id"), ints.alias("ints"))
 
 
-def _matrix(rows: pa.Array | list) -> np.ndarray:
-    return np.array(rows, np.int64)
+def _packed(vectors: DataFrame) -> DataFrame:
+    """``vec_id, vector, path, distance``: the components as bytes, at the root of the vector's length."""
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ints = batch.column(1)
+            lengths = np.asarray(ints.value_lengths())
+            for length in np.unique(lengths):
+                places = pa.array(np.flatnonzero(lengths == length))
+                matrix = np.asarray(ints.take(places).flatten(), np.int64).reshape(len(places), length)
+                norms = np.sqrt((matrix.astype(float) ** 2).sum(axis=1))
+                yield pa.record_batch(
+                    [batch.column(0).take(places), pa.array([row.tobytes() for row in matrix], pa.binary()), pa.array([str(length)] * len(places)), pa.array(norms)],
+                    names=["vec_id", "vector", "path", "distance"],
+                )
 
-def choose_pivots(vectors: DataFrame) -> dict[int, np.ndarray]:
-    """A few vectors by a hash of their ids, by length."""
-    order = F.xxhash64("vec_id", F.lit("pivots"))
-    found = vectors.orderBy(order, "vec_id", "ints").limit(PIVOTS).collect()
-    by_length: dict[int, list] = {}
-    for row in found:
-        if row.ints not in by_length.setdefault(len(row.ints), []):
-            by_length[len(row.ints)].append(row.ints)
-    return {n: _matrix(rows).reshape(len(rows), n) for n, rows in by_length.items()}
-
+    return vectors.mapInArrow(pack, "vec_id long, vector binary, path string, distance double")
 
-class Upper:
-    """The upper level: pivots of every length, numbered on; a length without one has number -1 - length."""
 
-    def __init__(self, pivots: dict[int, np.ndarray]):
-        self.pivots, self.first, n = pivots, {}, 0
-        for length, rows in pivots.items():
-            self.first[length] = n
-            n += len(rows)
+def _matrix(vectors: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(vectors), np.int64).reshape(len(vectors), -1 if vectors and vectors[0] else 0)
 
-    def nearest(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        length = vectors.shape[1]
-        if length not in self.pivots:
-            return np.full(len(vectors), -1 - length), np.sqrt((vectors.astype(float) ** 2).sum(axis=1))
-        p = self.pivots[length].astype(float)
-        v = vectors.astype(float)
-        squares = (v * v).sum(axis=1)[:, None] + (p * p).sum(axis=1)[None] - 2 * v @ p.T
-        best = squares.argmin(axis=1)
-        return best + self.first[length], np.sqrt(np.maximum(squares[np.arange(len(v)), best], 0))
 
-    def centre(self, pivot: int, length: int) -> np.ndarray:
-        return np.zeros(length, np.int64) if pivot < 0 else self.pivots[length][pivot - self.first[length]]
+def _distances(matrix: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    return np.sqrt(((matrix - centre).astype(float) ** 2).sum(axis=1))
 
 
-def _by_length(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places and matrix of the vectors of each length in a batch of ``vec_id, ints``."""
-    ints = batch.column(1)
-    lengths = np.asarray(ints.value_lengths())
-    for length in np.unique(lengths):
-        places = np.flatnonzero(lengths == length)
-        flat = np.asarray(ints.take(pa.array(places)).flatten(), np.int64)
-        yield places, flat.reshape(len(places), length)
+def _nearest(matrix: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    v, c = matrix.astype(float), centres.astype(float)
+    return ((c * c).sum(axis=1)[None] - 2 * v @ c.T).argmin(axis=1)
 
 
-def _assigned(vectors: DataFrame, upper: Upper) -> DataFrame:
-    """``vec_id, vector, pivot, distance``; a batch is cut so that its matrix stays small."""
+def _groups(count: str) -> Column:
+    return F.ceil(F.col(count) / GROUP).cast("int")
 
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for places, matrix in _by_length(batch):
-                pivot, distance = upper.nearest(matrix)
-                yield pa.record_batch(
-                    [batch.column(0).take(pa.array(places)), pa.array([row.tobytes() for row in matrix], pa.binary()), pa.array(pivot, pa.int32()), pa.array(distance, pa.float64())],
-                    names=["vec_id", "vector", "pivot", "distance"],
-                )
 
-    return vectors.mapInArrow(assign, "vec_id long, vector binary, pivot int, distance double")
+def _split(rows: DataFrame, inner: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of the inner nodes at their children, and ``path, parent, centre, to_parent, of`` of the children.
 
+    A node's rows meet its centres in slices of about ``GROUP``, so a node of any size is no single task.
+    """
+    fan = F.least(F.lit(PIVOTS), F.greatest(F.lit(2), F.ceil(2 * F.col("n") / GROUP)))
+    held = rows.join(inner.select("path", "n", fan.alias("fan"), _groups("n").alias("slices")), "path")
+    drawn = Window.partitionBy("path").orderBy(F.xxhash64("draw", F.lit(level)), "draw")
+    chosen = held.withColumn("rank", F.row_number().over(drawn)).where((F.col("rank") <= PIVOTS) & (F.col("rank") <= F.col("fan")))
+    centres = stored(
+        chosen.select(
+            F.concat_ws(".", "path", "rank").alias("path"), F.col("path").alias("parent"), F.col("vector").alias("centre"),
+            F.col("distance").alias("to_parent"), F.col("n").alias("of"), "slices",
+        ),
+        "centres",
+    )
 
-def _parts(count) -> F.Column:
-    return F.greatest(F.lit(1), F.ceil(count / GROUP)).cast("int")
+    def place(members: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
+        matrix, centres = _matrix(list(members["vector"])), _matrix(list(pivots["centre"]))
+        near = _nearest(matrix, centres) if len(members) else np.zeros(0, int)
+        return pd.DataFrame({
+            "vec_id": members["vec_id"], "vector": members["vector"], "path": pivots["path"].to_numpy()[near],
+            "distance": _distances(matrix, centres[near]) if len(members) else np.zeros(0), "draw": members["draw"],
+        })
+
+    dealt = centres.select("path", "centre", F.col("parent").alias("at"), F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+    sliced = held.select("vec_id", "vector", "draw", F.col("path").alias("at"), F.expr("cast(pmod(draw, slices) as int)").alias("slice"))
+    moved = sliced.groupBy("at", "slice").cogroup(dealt.groupBy("at", "slice")).applyInPandas(
+        place, "vec_id long, vector binary, path string, distance double, draw long"
+    )
+    return stored(moved, "vectors"), centres.drop("slices")
+
+
+def _leaf_pages(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """The pages of a group: members near the same seed, at most ``PAGE`` of them, around the seed."""
+    matrix, ids = _matrix(list(rows["vector"])), rows["vec_id"].to_numpy(np.int64)
+    to_leaf = rows["distance"].to_numpy()
+    order = np.lexsort((ids, to_leaf))
+    seeds = order[:: max(1, PAGE // 2)]
+    near = _nearest(matrix[order], matrix[seeds])
+    made = []
+    for seed in np.unique(near):
+        whole, centre = order[near == seed], matrix[seeds[seed]]
+        for members in np.array_split(whole, -(-len(whole) // PAGE)):
+            distances = _distances(matrix[members], centre)
+            made.append((*key, ids[members].tobytes(), matrix[members].tobytes(), distances.tobytes(), centre.tobytes(), float(distances.max()), float(to_leaf[seeds[seed]])))
+    return pd.DataFrame(made, columns=[c.split(" ")[0] for c in _PAGES.split(", ")])
+
+
+@dataclass
+class Tree:
+    """Nodes by level, and the pages of the leaves.
+
+    A level has ``parent, path, centre, to_parent, radius, n, parts``; an inner node has no parts.  A
+    leaf is repeated on every deeper level as its own child, without a centre.
+    """
 
+    levels: list[DataFrame]
+    pages: DataFrame
 
-def build_index(vectors: DataFrame, upper: Upper) -> tuple[DataFrame, DataFrame]:
-    """The leaf pages, a row each, and ``pivot, parts, radius`` of the pivots in use.
 
-    A pivot with many vectors has as many groups as it needs; a vector's group is drawn by a hash of
-    its id and its place in the file, so that equal vectors and equal ids spread as well.
+def build_tree(vectors: DataFrame) -> Tree:
+    """The tree over ``vec_id, ints``: a shuffle of the vectors per level, and one for the pages."""
+    rows = stored(_packed(vectors).withColumn("draw", F.xxhash64("vec_id", F.monotonically_increasing_id())), "vectors")
+    children = rows.select("path").distinct().select(
+        "path", F.col("path").alias("parent"), F.lit(None).cast("binary").alias("centre"), F.lit(0.0).alias("to_parent"), F.lit(None).cast("long").alias("of")
+    )
+    levels: list[DataFrame] = []
+    finished: list[DataFrame] = []
+    used = [rows]
+    while True:
+        sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("radius"))
+        splits = (F.col("n") > GROUP) & (F.col("radius") > 0) & (F.col("n") < F.coalesce("of", F.col("n") + 1)) & F.lit(len(levels) < LEVELS)
+        parts = F.when(splits, F.lit(0)).otherwise(_groups("n")).alias("parts")
+        nodes = stored(sizes.join(children, "path").select("parent", "path", "centre", "to_parent", "radius", "n", parts), "nodes")
+        finished.append(rows.join(nodes.where("parts > 0").select("path", "parts"), "path"))
+        inner = nodes.where("parts = 0")
+        if levels:
+            again = levels[-1].where("parts > 0").select(F.col("path").alias("parent"), "path", F.lit(None).cast("binary").alias("centre"), F.lit(0.0).alias("to_parent"), "radius", "n", "parts")
+            nodes = nodes.unionByName(again)
+        levels.append(nodes)
+        if inner.isEmpty():
+            break
+        rows, children = _split(rows, inner, len(levels))
+        used.append(rows)
+    leaves = finished[0]
+    for more in finished[1:]:
+        leaves = leaves.unionByName(more)
+    grouped = leaves.select("path", F.expr("cast(pmod(draw, parts) as int)").alias("part"), "vec_id", "vector", "distance")
+    pages = stored(grouped.groupBy("path", "part").applyInPandas(_leaf_pages, _PAGES), "pages")
+    for table in used:
+        discard(table)
+    return Tree(levels, pages)
+
+
+def _products(rows: DataFrame) -> DataFrame:
+    """``product`` replaced by the product of query and centre, where there is a centre."""
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            products = batch.column("product").to_numpy(zero_copy_only=False).copy()
+            queries, centres = batch.column("query").to_pylist(), batch.column("centre").to_pylist()
+            by_length: dict[int, list[int]] = {}
+            for place, centre in enumerate(centres):
+                if centre is not None:
+                    by_length.setdefault(len(centre), []).append(place)
+            for places in by_length.values():
+                q, c = (_matrix([side[place] for place in places]).astype(float) for side in (queries, centres))
+                products[places] = (q * c).sum(axis=1)
+            at = batch.schema.get_field_index("product")
+            yield batch.set_column(at, "product", pa.array(products))
+
+    return rows.mapInArrow(multiply, rows.schema)
+
+
+def descend(asked: DataFrame, tree: Tree, beam: int | None = None) -> DataFrame:
+    """``query_id, query, least, norm, product, path, parts``: the leaves that each query has to visit.
+
+    These are all that its bounds do not rule out or, with ``beam``, those reached by keeping that many
+    nodes of the highest products on every level.  ``product`` is that of the query and the leaf's centre.
     """
-    placed = stored(_assigned(vectors, upper).withColumn("draw", F.xxhash64("vec_id", F.monotonically_increasing_id())), "vectors")
-    pivots = placed.groupBy("pivot").agg(_parts(F.count(F.lit(1))).alias("parts"), F.max("distance").alias("radius"))
-
-    def pages(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        vectors = np.array([np.frombuffer(v, np.int64) for v in rows["vector"]]).reshape(len(rows), -1)
-        ids = rows["vec_id"].astype("Int64")
-        known = ids.notna().to_numpy()
-        numbers = ids.fillna(0).to_numpy(np.int64)
-        order = np.lexsort((numbers, rows["distance"].to_numpy()))
-        order = order[known[order]]
-        parent = upper.centre(int(key[0]), vectors.shape[1]).astype(float)
-        made, seeds = [], vectors[order[:: PAGE // 2]].astype(float)
-        if len(order):
-            v = vectors[order].astype(float)
-            near = ((seeds * seeds).sum(axis=1)[None] - 2 * v @ seeds.T).argmin(axis=1)
-            for seed in np.unique(near):
-                whole = order[near == seed]
-                for members in np.array_split(whole, -(-len(whole) // PAGE)):
-                    inside, centre = vectors[members], seeds[seed]
-                    distance = np.sqrt(((inside - centre) ** 2).sum(axis=1))
-                    made.append((*map(int, key), numbers[members].tobytes(), inside.tobytes(), distance.tobytes(), centre.astype(np.int64).tobytes(), float(distance.max()), float(np.sqrt(((centre - parent) ** 2).sum()))))
-        return pd.DataFrame(made, columns=[c.split(" ")[0] for c in _PAGES.split(", ")])
-
-    grouped = placed.join(F.broadcast(pivots), "pivot").withColumn("part", F.expr("cast(pmod(draw, parts) as int)"))
-    return grouped.select("pivot", "part", "vec_id", "vector", "distance").groupBy("pivot", "part").applyInPandas(pages, _PAGES), pivots
-
-
-def search_pages(
-    query: np.ndarray, query_id: int, least: float, parent: np.ndarray, ids: list[np.ndarray], vectors: list[np.ndarray],
+    at = asked.withColumn("product", F.lit(0.0))
+    for depth, level in enumerate(tree.levels):
+        met = at.drop("parts").withColumnRenamed("path", "at").join(level.drop("n"), F.col("at") == F.col("parent"))
+        reach = F.col("norm") * (F.col("to_parent") + F.col("radius"))
+        sizes = 1 + F.abs("product") + F.col("norm") * (F.col("largest") + F.col("to_parent") + F.col("radius"))
+        met = met.where(F.col("product") + reach + SLACK * sizes >= F.col("least"))
+        if depth:
+            met = _products(met.select("query_id", "query", "norm", "least", "largest", "product", "path", "centre", "radius", "to_parent", "parts"))
+            met = met.where(F.col("product") + F.col("norm") * F.col("radius") + SLACK * sizes >= F.col("least"))
+        if beam:
+            best = Window.partitionBy("query_id").orderBy(F.desc("product"), "path")
+            met = met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= beam)
+        at = met.select("query_id", "query", "norm", "least", "largest", "product", "path", "parts")
+    return at
+
+
+def search_group(
+    queries: np.ndarray, query_ids: np.ndarray, least: np.ndarray, products: np.ndarray, ids: list[np.ndarray], vectors: list[np.ndarray],
     distances: list[np.ndarray], centres: np.ndarray, radii: np.ndarray, to_parent: np.ndarray, k: int,
-) -> list[tuple[int, int]]:
-    """The best ``(score, -vec_id)`` of a group that reach ``least``, by best-first search.
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row of the query, id and score of the ``k`` best of a group for each of a block of queries.
 
-    The bound by the parent's centre needs one product for all pages; only pages that it lets through
-    have their own product worked out.  Pages are then opened in the order of their own bounds.
+    ``products`` are those with the group's centre: with them the bound by the parent needs no product.
+    Of the pages that it lets through the own bounds are worked out; pages are opened in the order of
+    the bounds, and members too near to the page's centre for any of the queries are passed over.
     """
-    norm = float(np.sqrt(query @ query))
-    wide = SLACK * (1 + norm * (float(np.abs(parent).sum()) + float(to_parent.max(initial=0)) + float(radii.max(initial=0))))
-    by_parent = float(query @ parent) + norm * (to_parent + radii) + wide
-    pages = np.flatnonzero(by_parent >= least)
-    products = centres[pages] @ query
-    bounds = products + norm * radii[pages] + wide
-    best: list[tuple[int, int]] = []
-    for at in np.argsort(-bounds):
-        if bounds[at] < least:
+    q = queries.astype(float)
+    norms = np.sqrt((q * q).sum(axis=1))
+    lengths = np.sqrt((centres.astype(float) ** 2).sum(axis=1))
+    wide = SLACK * (1 + np.abs(products)[:, None] + norms[:, None] * (lengths + to_parent + radii)[None])
+    least = least - SLACK * np.abs(np.where(np.isfinite(least), least, 0))
+    open_ = products[:, None] + norms[:, None] * (to_parent + radii)[None] + wide >= least[:, None]
+    pages = np.flatnonzero(open_.any(axis=0))
+    own = q @ centres[pages].astype(float).T
+    bounds = np.where(open_[:, pages], own + norms[:, None] * radii[pages][None] + wide[:, pages], -np.inf)
+    exact = norms.max(initial=0) * (lengths + radii).max(initial=0) * 2 < EXACT
+    rows, found, scores = (np.zeros(0, np.int64) for _ in range(3))
+    waiting = np.argsort(-bounds.max(axis=0, initial=-np.inf), kind="stable")
+    step = max(1, CHUNK // PAGE)
+    while len(waiting):
+        waiting = waiting[(bounds[:, waiting] >= least[:, None]).any(axis=0)]
+        taken, waiting = waiting[:step], waiting[step:]
+        asking = np.flatnonzero((bounds[:, taken] >= least[:, None]).any(axis=1)) if len(taken) else taken
+        if not len(asking):
             break
-        page = pages[at]
-        near = np.flatnonzero((distances[page] >= (least - wide - products[at]) / norm) if norm else distances[page] >= 0)
-        scores = vectors[page][near] @ query
-        good = np.flatnonzero((scores >= least) & (ids[page][near] != query_id))
-        for score, vec_id in zip(scores[good].tolist(), ids[page][near[good]].tolist()):
-            if len(best) < k:
-                heapq.heappush(best, (score, -vec_id))
-            elif (score, -vec_id) > best[0]:
-                heapq.heapreplace(best, (score, -vec_id))
-        if len(best) == k:
-            least = max(least, best[0][0])
-    return best
-
-
-def _search(pages: DataFrame, visits: DataFrame, upper: Upper, k: int) -> DataFrame:
+        kept_ids, kept = [], []
+        for place in taken:
+            page = pages[place]
+            short = least[asking] - own[asking, place] - wide[asking, page]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                nearest = np.where(norms[asking] > 0, short / norms[asking], -np.inf)
+            members = distances[page] >= np.where(bounds[asking, place] >= least[asking], nearest, np.inf).min()
+            kept_ids.append(ids[page][members])
+            kept.append(vectors[page][members])
+        member_ids, members = np.concatenate(kept_ids), np.concatenate(kept)
+        if not len(members):
+            continue
+        table = q[asking] @ members.astype(float).T if exact else queries[asking] @ members.T
+        good = (table >= least[asking][:, None]) & (member_ids[None] != query_ids[asking][:, None])
+        if table.shape[1] > k and good.sum() > 8 * k * len(asking):
+            last = np.partition(np.where(good, table, table.min()), table.shape[1] - k, axis=1)[:, table.shape[1] - k]
+            good &= table >= last[:, None]
+        row, column = np.nonzero(good)
+        rows, found = np.concatenate([rows, asking[row]]), np.concatenate([found, member_ids[column]])
+        scores = np.concatenate([scores, table[row, column].astype(np.int64)])
+        order = np.lexsort((found, -scores, rows))
+        rows, found, scores = rows[order], found[order], scores[order]
+        rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        full = rank == k - 1
+        least[rows[full]] = np.maximum(least[rows[full]], scores[full] * (1 - SLACK * np.sign(scores[full])))
+        rows, found, scores = rows[rank < k], found[rank < k], scores[rank < k]
+    return rows, found, scores
+
+
+def _search(pages: DataFrame, visits: DataFrame, k: int) -> DataFrame:
     """``query_id, vec_id, score``: the best of each visited group that reach the query's ``least``.
 
-    ``visits`` has ``pivot, part, block, query_id, query, least``.  A group is copied to each block of
-    queries that visits its pivot.
+    ``visits`` has ``path, part, block, query_id, query, least, product``.  A group is copied to each
+    block of queries of which one visits it.
     """
 
-    def search(key: tuple, rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(rows) and len(queries):
-            read = lambda column, kind: [np.frombuffer(x, kind) for x in rows[column]]
-            centres = np.array(read("centre", np.int64)).reshape(len(rows), -1)
-            length = centres.shape[1]
-            ids, distances = read("vec_ids", np.int64), read("distances", np.float64)
-            vectors = [v.reshape(len(i), length) for v, i in zip(read("vectors", np.int64), ids)]
-            parent = upper.centre(int(key[0]), length)
-            radii, to_parent = rows["radius"].to_numpy(), rows["to_parent"].to_numpy()
-            for query_id, query, least in zip(queries["query_id"], queries["query"], queries["least"]):
-                best = search_pages(np.frombuffer(query, np.int64), query_id, least, parent, ids, vectors, distances, centres, radii, to_parent, k)
-                found += [(query_id, -vec_id, score) for score, vec_id in best]
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
-
-    blocks = visits.select(F.col("pivot").alias("to_pivot"), F.col("block").alias("to_block")).distinct()
-    copied = pages.join(blocks, F.col("pivot") == F.col("to_pivot"))
+    def search(groups: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        if not len(groups) or not len(queries):
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype=np.int64)
+        centres, query_ids = _matrix(list(groups["centre"])), queries["query_id"].to_numpy(np.int64)
+        ids = [np.frombuffer(x, np.int64) for x in groups["vec_ids"]]
+        vectors = [np.frombuffer(x, np.int64).reshape(len(i), centres.shape[1]) for x, i in zip(groups["vectors"], ids)]
+        distances = [np.frombuffer(x, np.float64) for x in groups["distances"]]
+        numbers = (queries[c].to_numpy(float) for c in ("least", "product"))
+        bounds = (groups[c].to_numpy(float) for c in ("radius", "to_parent"))
+        rows, found, scores = search_group(_matrix(list(queries["query"])), query_ids, *numbers, ids, vectors, distances, centres, *bounds, k)
+        return pd.DataFrame({"query_id": query_ids[rows], "vec_id": found, "score": scores})
+
+    blocks = visits.select(F.col("path").alias("to_path"), F.col("part").alias("to_part"), F.col("block").alias("to_block")).distinct()
+    copied = pages.join(blocks, (F.col("path") == F.col("to_path")) & (F.col("part") == F.col("to_part")))
     return (
-        copied.groupBy("to_pivot", "part", "to_block")
-        .cogroup(visits.groupBy("pivot", "part", "block")).applyInPandas(search, "query_id long, vec_id long, score long")
+        copied.groupBy("to_path", "to_part", "to_block")
+        .cogroup(visits.groupBy("path", "part", "block")).applyInPandas(search, "query_id long, vec_id long, score long")
     )
 
 
@@ -220,43 +324,22 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 
 def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, row_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` candidates of highest inner product with each query."""
-    vectors = integer_vectors(candidates, row_id, vector)
-    upper = Upper(choose_pivots(vectors))
-    index, pivots = build_index(vectors, upper)
-    pages = stored(index, "pages")
-    directory = {r.pivot: (r.parts, r.radius) for r in pivots.collect()}  # at most PIVOTS rows and one per odd length
-    asked = integer_vectors(queries, row_id, vector).where("vec_id is not null").groupBy("vec_id").agg(F.min("ints").alias("ints"))
-    homes = _assigned(asked, upper).withColumnsRenamed({"vec_id": "query_id", "vector": "query"})
-    homes = stored(homes.drop("distance"), "queries")
-    blocks = max(1, -(-homes.count() // BLOCK))
+    tree = build_tree(integer_vectors(candidates, row_id, vector))
+    largest = F.broadcast(tree.levels[0].groupBy("path").agg(F.max("radius").alias("largest")))  # a row per length
+    asked = integer_vectors(queries, row_id, vector).groupBy("vec_id").agg(F.min("ints").alias("ints"))
+    asked = _packed(asked).withColumnsRenamed({"vec_id": "query_id", "vector": "query", "distance": "norm"})
+    asked = stored(asked.join(largest, "path"), "queries")
+    blocks = max(1, -(-asked.count() // BLOCK))
     block = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block")
+    columns = [block, "query_id", "query", "least", "product", "path"]
     nothing = F.lit(float("-inf"))
-    first = homes.select("pivot", F.lit(0).alias("part"), block, "query_id", "query", nothing.alias("least"))
-    reached = _best(_search(pages, first, upper, k), k).where(F.col("rank") == k).select("query_id", F.col("score").cast("double").alias("least"))
-
-    def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row per query and group that its bound does not rule out."""
-        for batch in batches:
-            rows, to_pivot, to_part = [], [], []
-            for row, (query, least) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
-                q = np.frombuffer(query, np.int64)
-                norm = float(np.sqrt(q @ q))
-                known = upper.pivots.get(len(q), [])
-                for pivot in [*range(upper.first.get(len(q), 0), upper.first.get(len(q), 0) + len(known))] or [-1 - len(q)]:
-                    if pivot in directory:
-                        parts, radius = directory[pivot]
-                        centre = upper.centre(pivot, len(q))
-                        if float(q @ centre) + norm * radius + SLACK * (1 + norm * (float(np.abs(centre).sum()) + radius)) >= least:
-                            rows += [row] * parts
-                            to_pivot += [pivot] * parts
-                            to_part += range(parts)
-            taken = [batch.column(k).take(pa.array(rows, pa.int64())) for k in range(3)]
-            yield pa.record_batch([pa.array(to_pivot, pa.int32()), pa.array(to_part, pa.int32()), *taken], names=["pivot", "part", "query_id", "query", "least"])
-
-    bounded = homes.join(reached, "query_id", "left").select("query_id", "query", F.coalesce("least", nothing).alias("least"))
-    visits = bounded.mapInArrow(routed, "pivot int, part int, query_id long, query binary, least double")
-    visits = visits.select("pivot", "part", block, "query_id", "query", "least")
-    return _best(_search(pages, visits, upper, k), k).select("query_id", "rank", "vec_id", "score")
+    first = stored(descend(asked.withColumn("least", nothing), tree, SEEDS).select(*columns, F.lit(0).alias("part")), "visits")
+    reached = _best(_search(tree.pages, first, k), k).where(F.col("rank") == k).select("query_id", F.col("score").cast("double").alias("least"))
+    bounded = stored(asked.join(reached, "query_id", "left").withColumn("least", F.coalesce("least", nothing)), "bounded")
+    discard(first)
+    parts = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    visits = stored(descend(bounded, tree).select(*columns, parts), "visits")
+    return _best(_search(tree.pages, visits, k), k).select("query_id", "rank", "vec_id", "score")
 
 
 ORACLE = """
