@@ -128,17 +128,17 @@ def _split(rows: DataFrame, inner: DataFrame, level: int) -> tuple[DataFrame, Da
     return stored(moved, "vectors"), centres.drop("slices")
 
 
-def _leaf_pages(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """The pages of a group: members near the same seed, at most ``PAGE`` of them, around the seed."""
+def _leaf_pages(key: tuple, rows: pd.DataFrame, most: int) -> pd.DataFrame:
+    """The pages of a group: members near the same seed, at most ``most`` of them, around the seed."""
     matrix, ids = _matrix(list(rows["vector"])), rows["vec_id"].to_numpy(np.int64)
     to_leaf = rows["distance"].to_numpy()
     order = np.lexsort((ids, to_leaf))
-    seeds = order[:: max(1, PAGE // 2)]
+    seeds = order[:: max(1, most // 2)]
     near = _nearest(matrix[order], matrix[seeds])
     made = []
     for seed in np.unique(near):
         whole, centre = order[near == seed], matrix[seeds[seed]]
-        for members in np.array_split(whole, -(-len(whole) // PAGE)):
+        for members in np.array_split(whole, -(-len(whole) // most)):
             distances = _distances(matrix[members], centre)
             made.append((*key, ids[members].tobytes(), matrix[members].tobytes(), distances.tobytes(), centre.tobytes(), float(distances.max()), float(to_leaf[seeds[seed]])))
     return pd.DataFrame(made, columns=[c.split(" ")[0] for c in _PAGES.split(", ")])
@@ -184,7 +184,12 @@ def build_tree(vectors: DataFrame) -> Tree:
     for more in finished[1:]:
         leaves = leaves.unionByName(more)
     grouped = leaves.select("path", F.expr("cast(pmod(draw, parts) as int)").alias("part"), "vec_id", "vector", "distance")
-    pages = stored(grouped.groupBy("path", "part").applyInPandas(_leaf_pages, _PAGES), "pages")
+    most = PAGE
+
+    def pages_of(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return _leaf_pages(key, rows, most)
+
+    pages = stored(grouped.groupBy("path", "part").applyInPandas(pages_of, _PAGES), "pages")
     for table in used:
         discard(table)
     return Tree(levels, pages)
@@ -234,13 +239,13 @@ def descend(asked: DataFrame, tree: Tree, beam: int | None = None) -> DataFrame:
 
 def search_group(
     queries: np.ndarray, query_ids: np.ndarray, least: np.ndarray, products: np.ndarray, ids: list[np.ndarray], vectors: list[np.ndarray],
-    distances: list[np.ndarray], centres: np.ndarray, radii: np.ndarray, to_parent: np.ndarray, k: int,
+    distances: list[np.ndarray], centres: np.ndarray, radii: np.ndarray, to_parent: np.ndarray, k: int, step: int,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row of the query, id and score of the ``k`` best of a group for each of a block of queries.
 
     ``products`` are those with the group's centre: with them the bound by the parent needs no product.
-    Of the pages that it lets through the own bounds are worked out; pages are opened in the order of
-    the bounds, and members too near to the page's centre for any of the queries are passed over.
+    Of the pages that it lets through the own bounds are worked out; ``step`` pages at a time are opened
+    in the order of the bounds, and members too near to the page's centre for any of the queries are passed over.
     """
     q = queries.astype(float)
     norms = np.sqrt((q * q).sum(axis=1))
@@ -254,7 +259,6 @@ def search_group(
     exact = norms.max(initial=0) * (lengths + radii).max(initial=0) * 2 < EXACT
     rows, found, scores = (np.zeros(0, np.int64) for _ in range(3))
     waiting = np.argsort(-bounds.max(axis=0, initial=-np.inf), kind="stable")
-    step = max(1, CHUNK // PAGE)
     while len(waiting):
         waiting = waiting[(bounds[:, waiting] >= least[:, None]).any(axis=0)]
         taken, waiting = waiting[:step], waiting[step:]
@@ -297,6 +301,8 @@ def _search(pages: DataFrame, visits: DataFrame, k: int) -> DataFrame:
     block of queries of which one visits it.
     """
 
+    step = max(1, CHUNK // PAGE)
+
     def search(groups: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(groups) or not len(queries):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype=np.int64)
@@ -306,7 +312,7 @@ def _search(pages: DataFrame, visits: DataFrame, k: int) -> DataFrame:
         distances = [np.frombuffer(x, np.float64) for x in groups["distances"]]
         numbers = (queries[c].to_numpy(float) for c in ("least", "product"))
         bounds = (groups[c].to_numpy(float) for c in ("radius", "to_parent"))
-        rows, found, scores = search_group(_matrix(list(queries["query"])), query_ids, *numbers, ids, vectors, distances, centres, *bounds, k)
+        rows, found, scores = search_group(_matrix(list(queries["query"])), query_ids, *numbers, ids, vectors, distances, centres, *bounds, k, step)
         return pd.DataFrame({"query_id": query_ids[rows], "vec_id": found, "score": scores})
 
     blocks = visits.select(F.col("path").alias("to_path"), F.col("part").alias("to_part"), F.col("block").alias("to_block")).distinct()
