@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import exact
+from ledgerloom.functions import exact, positions
 from ledgerloom.functions.matching import bounded_broadcast, key_list
 
 MAX_BROADCAST = 256 << 20
@@ -98,6 +98,41 @@ def as_of_lookup(probe: DataFrame, dim: DataFrame, key: str, at: str, attr: str,
         probe[key], probe[at], F.col(attr).alias(name))
 
 
+def as_of_merge(probe: DataFrame, dim: DataFrame, key: str, at: str, attrs: Sequence[str], start: str, end: str,
+                ties: Sequence[str] = (), bits: int | None = None) -> DataFrame:
+    """The probes with the attributes in force on their dates, merged by time; the answer of ``as_of_lookup``.
+
+    For keys with many versions: a join forms every pair of a probe and a version of its key, this forms none.
+    Probes and versions lie in one order of key and time, cut into even ranges.  A probe takes the latest
+    version that began by then: in its range or, from a table of one row per range, in an earlier one.  A
+    key's rows may fill any number of ranges.  ``ties`` are columns that tell a key's probes of one moment
+    apart; without them such probes share a range.
+
+    Every probe column is kept.  A probe outside all intervals, or with a null key or date, is left out, as
+    are versions with a null key or start and those that end before they start.  Intervals of a key must
+    not overlap.
+    """
+    begins = dim.where(F.col(key).isNotNull() & F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(end) >= F.col(start))))
+    versions = begins.select(
+        F.col(key).alias("__key"), F.col(start).alias("__time"), F.lit(0).alias("__kind"),
+        F.struct(F.col(end).alias("__end"), *attrs).alias("__version"))
+    probes = probe.where(F.col(key).isNotNull() & F.col(at).isNotNull()).select(
+        F.col(key).alias("__key"), F.col(at).alias("__time"), F.lit(1).alias("__kind"),
+        *[F.col(c).alias(f"__tie_{i}") for i, c in enumerate(ties)], F.struct(*probe.columns).alias("__probe"))
+    order = ["__time", "__kind", *[f"__tie_{i}" for i in range(len(ties))]]
+    ranged = positions.in_ranges(probes.unionByName(versions, allowMissingColumns=True), ["__key"], order, bits=bits)
+    inside = Window.partitionBy("__key", positions.RANGE).orderBy("__time", "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    begun = ranged.withColumn("__here", F.last("__version", ignorenulls=True).over(inside))
+    latest = F.max_by("__version", F.when(F.col("__version").isNotNull(), F.col("__time")))
+    ends = positions.carried(ranged, ["__key"], {}, {"__latest": latest})
+    earlier = Window.partitionBy("__key").orderBy(positions.RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    handed = ends.select("__key", positions.RANGE, F.last("__latest", ignorenulls=True).over(earlier).alias("__handed"))
+    found = positions.with_carried(begun.where("__kind = 1"), handed, ["__key"])
+    found = found.withColumn("__version", F.coalesce("__here", "__handed")).where(F.col("__version").isNotNull())
+    in_force = F.col("__version.__end").isNull() | (F.col("__time") <= F.col("__version.__end"))
+    return found.where(in_force).select("__probe.*", *[F.col("__version")[a].alias(a) for a in attrs])
+
+
 def _pair_counts(copies: DataFrame, basket: str, item: str, first: str, second: str, score: str,
                  kept: Column | None = None) -> DataFrame:
     """Pairs and their counts from lines reduced to (basket, item, copies, weight)."""

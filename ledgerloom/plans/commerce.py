@@ -528,3 +528,15 @@ def tier_as_of_order(t: Tables) -> DataFrame:
     probes = t.orders.select("customer_id", F.col("order_date").alias("as_of_date"))
     return joins.as_of_lookup(
         probes, _dimension(t), "customer_id", "as_of_date", "tier", "effective_start", "effective_end", "tier_as_of")
+
+
+@query("commerce_8_5_tier_as_of_order_merged", "order_id", f"""
+    {SQL_HISTORY} SELECT o_orderkey AS order_id, customer_id, cast(o_orderdate AS date) AS as_of_date, tier
+    FROM orders, dimension
+    WHERE customer_id = o_custkey
+      AND cast(o_orderdate AS date) BETWEEN effective_start AND coalesce(effective_end, DATE '9999-12-31')""")
+def tier_as_of_order_merged(t: Tables) -> DataFrame:
+    probes = t.orders.select("order_id", "customer_id", F.col("order_date").alias("as_of_date"))
+    return joins.as_of_merge(
+        probes, _dimension(t), "customer_id", "as_of_date", ["tier"], "effective_start", "effective_end", ["order_id"])
+

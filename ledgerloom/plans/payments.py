@@ -642,6 +642,19 @@ def salted_against_plain(t: Tables) -> DataFrame:
     return quality.diff_summary(salted, plain, ["customer_id"])
 
 
+@query("dataset_diff_checksums_of_closed_orders", "order_id", """
+    SELECT o_orderkey AS order_id, CASE WHEN o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)
+                                        THEN 'missing' ELSE 'changed' END AS difference
+    FROM orders
+    WHERE o_orderstatus = 'P' OR o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""")
+def closed_orders_by_checksums(t: Tables) -> DataFrame:
+    """The orders once the pending ones are closed and those of indebted customers are gone, against all orders."""
+    indebted = t.customers.where("c_acctbal < 0")
+    closed = joins.without_match(t.orders, indebted, "customer_id").select(t.orders.columns)
+    closed = closed.withColumn("status", F.when(F.col("status") == "P", "F").otherwise(F.col("status")))
+    return quality.checksum_diff(closed, t.orders, ["order_id"])
+
+
 @query("partition_statistics_of_accounts", "approach")
 def account_partition_statistics(t: Tables) -> DataFrame:
     return partition_statistics(hash_layout(t.accounts, 10, "user_id"), "by_user")

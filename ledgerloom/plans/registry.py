@@ -41,6 +41,7 @@ PER_ROW = (
     "payments_2_1", "payments_2_5", "payments_3_1", "payments_3_2", "payments_3_4", "payments_3_5", "payments_4_2",
     "payments_4_3", "payments_4_5", "payments_5_3", "payments_6_1", "payments_6_2", "payments_6_3", "payments_6_5",
     "payments_7_1", "payments_7_2", "payments_7_4", "payments_8_3", "payments_8_4", "dataset_diff_completed",
+    "dataset_diff_checksums",
 )
 
 
