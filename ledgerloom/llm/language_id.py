@@ -7,9 +7,16 @@ there are many.  A text first takes the family that wins
 most of its pairs, then the language that wins most inside that family.  Prediction is a map over
 whole texts that sees nothing but the text.
 
+Every machine is fitted in a task of its own, from at most about ``2 * ROWS_PER_SIDE`` sparse rows.  The
+number of pairs would grow as the square of a family's languages, so a family of more than ``MOST_PAIRED``
+is first split into groups of like languages, by halving along the widest axis of their mean sketches,
+and a text takes the group before the language.  The driver holds a name, a count, a sketch of 64 numbers
+and about four vectors of weights (16 KB each) for each language of such a family.
+
 Edge cases: a null text, one without a letter, and any text when nothing could be learned is ``und``
 with score 0; ties in votes go to the larger sum of margins, then to the first name; repeated rows
-are predicted alike; a row without an id is predicted, but neither held out nor learned from.
+are predicted alike; a row without an id is predicted, but neither held out nor learned from; an empty
+table gives an empty result; columns named ``lang_pred`` or ``score`` give way to the results, others stay.
 """
 
 from __future__ import annotations
@@ -19,12 +26,15 @@ from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from ledgerloom.llm.shared import discard, stored
 from ledgerloom.llm.text_maps import map_texts
+from ledgerloom.llm.vocabularies import release
 
 BUCKETS = 1 << 12
 #: The bound of the training sample: about so many rows of each language, and so many rows in all; where
@@ -32,6 +42,12 @@ BUCKETS = 1 << 12
 ROWS_PER_LANGUAGE = 500
 ROWS_IN_ALL = 50_000
 LEAST_ROWS = 50
+#: About so many rows at most on either side of a machine.
+ROWS_PER_SIDE = 2000
+#: A family with more languages is split into groups of at most ``IN_GROUP``, and so are the groups.
+MOST_PAIRED, IN_GROUP = 16, 8
+#: Numbers of a sketch, sums of neighbouring buckets.
+SKETCH = 64
 UNKNOWN = "und"
 #: Texts counted at once, and characters after which a part is folded into the counts.
 ROWS = 256
@@ -121,16 +137,16 @@ def fit_svm(x: np.ndarray, positive: np.ndarray) -> np.ndarray:
 
 
 class Discriminator:
-    """Pairwise machines between names; the name with most won pairs is chosen."""
+    """Pairwise machines between names; the name with most won pairs is chosen.
+
+    ``members`` holds, for every name that stands for several languages, the discriminator inside it.
+    """
 
-    def __init__(self, names: list[str], x: np.ndarray, labels: np.ndarray):
-        self.names, self.pairs = sorted(names), []
-        weights = []
-        for a, b in combinations(range(len(self.names)), 2):
-            rows = np.flatnonzero((labels == self.names[a]) | (labels == self.names[b]))
-            weights.append(fit_svm(x[rows], labels[rows] == self.names[a]).astype(np.float32))
-            self.pairs.append((a, b))
-        self.weights = np.array(weights, np.float32).reshape(len(weights), x.shape[1]).T
+    def __init__(self, names: list[str], members: list[Discriminator | None] | None = None):
+        self.names = sorted(names)
+        self.members = members or [None] * len(self.names)
+        self.pairs = list(combinations(range(len(self.names)), 2))
+        self.weights = np.zeros((BUCKETS + 1, len(self.pairs)), np.float32)
 
     def __call__(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The chosen number per row and its confidence: the surest loss it escaped, from 0 to 1."""
@@ -146,31 +162,72 @@ class Discriminator:
         margin = np.clip(least[np.arange(len(x)), best], -30, 30)
         return best, 1 / (1 + np.exp(-2 * margin))
 
+    def languages(self, k: int) -> list[str]:
+        """The languages that the k-th name stands for."""
+        inside = self.members[k]
+        return [self.names[k]] if inside is None else [n for j in range(len(inside.names)) for n in inside.languages(j)]
+
+    def decide(self, x: np.ndarray, rows: np.ndarray, names: np.ndarray, sure: np.ndarray) -> None:
+        """Writes the language and the least confidence on the way to it, for the given rows."""
+        best, inside = self(x[rows])
+        sure[rows] = np.minimum(sure[rows], inside)
+        for k, member in enumerate(self.members):
+            chosen = rows[best == k]
+            if member is None:
+                names[chosen] = self.names[k]
+            elif len(chosen):
+                member.decide(x, chosen, names, sure)
+
+
+def _halves(names: list[str], sketches: dict[str, np.ndarray], times: int) -> list[list[str]]:
+    """The names halved up to so often, along the widest axis of their sketches, until they are few."""
+    if times == 0 or len(names) <= IN_GROUP:
+        return [names]
+    around = np.array([sketches[n] for n in names])
+    around = around - around.mean(axis=0)
+    axis = np.linalg.svd(around, full_matrices=False)[2][0]
+    along = [names[i] for i in np.lexsort((np.arange(len(names)), np.round(around @ axis, 9)))]
+    middle = len(names) // 2
+    return _halves(sorted(along[:middle]), sketches, times - 1) + _halves(sorted(along[middle:]), sketches, times - 1)
+
+
+def family_tree(name: str, languages: list[str], sketches: dict[str, np.ndarray]) -> Discriminator:
+    """The discriminator of a family: flat where it has few languages, else over groups of like ones."""
+    if len(languages) <= MOST_PAIRED:
+        return Discriminator(languages)
+    groups = _halves(sorted(languages), sketches, 4)
+    names = [f"{name}/{k:02d}" for k in range(len(groups))]
+    return Discriminator(names, [family_tree(n, group, sketches) for n, group in zip(names, groups)])
+
 
 class LanguageModel:
-    def __init__(self, x: np.ndarray, languages: np.ndarray):
-        families = np.array([family_of(name) for name in languages], object)
-        self.families = Discriminator(list(set(families)), x, families)
-        self.members = []
-        for family in self.families.names:
-            rows = np.flatnonzero(families == family)
-            self.members.append(Discriminator(list(set(languages[rows])), x[rows], languages[rows]))
+    def __init__(self, languages: list[str], sketches: dict[str, np.ndarray] | None = None):
+        families: dict[str, list[str]] = {}
+        for name in languages:
+            families.setdefault(family_of(name), []).append(name)
+        self.families = Discriminator(list(families), [family_tree(f, families[f], sketches or {}) for f in sorted(families)])
+
+    def nodes(self) -> list[Discriminator]:
+        """All discriminators, each before those inside it."""
+        found = [self.families]
+        for node in found:
+            found += [member for member in node.members if member is not None]
+        return found
+
+    @property
+    def members(self) -> list[Discriminator]:
+        """The discriminators between languages."""
+        return [node for node in self.nodes()[1:] if all(member is None for member in node.members)]
 
     def __call__(self, texts: list[str | None]) -> list[tuple[str, float]]:
         found = []
         for low in range(0, len(texts), ROWS):
             part = [t or "" for t in texts[low:low + ROWS]]
             counts, lettered = trigram_counts(part)
-            x = shares(counts)
             names, sure = np.full(len(part), UNKNOWN, object), np.zeros(len(part))
             if self.families.names:
-                family, sure = self.families(x)
-                for k, member in enumerate(self.members):
-                    rows = np.flatnonzero(family == k)
-                    if len(rows):
-                        best, inside = member(x[rows])
-                        names[rows] = np.array(member.names, object)[best]
-                        sure[rows] = np.minimum(sure[rows], inside)
+                sure += 1
+                self.families.decide(shares(counts), np.arange(len(part)), names, sure)
             found += [(n, float(s)) if has else (UNKNOWN, 0.0) for n, s, has in zip(names, sure, lettered)]
         return found
 
@@ -198,19 +255,63 @@ def training_sample(docs: DataFrame, row_id: str = "doc_id", text: str = "text",
     return chosen.select("lang", "text")
 
 
-def fit(sample: DataFrame) -> LanguageModel:
-    """A model of the sample's counts, which are worked out where the rows are."""
+def _sparse_counts(sample: DataFrame) -> DataFrame:
+    """``lang, places, counts, sketch`` of every row, worked out where the rows are."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for low in range(0, batch.num_rows, ROWS):
                 part = batch.slice(low, ROWS)
                 counts, _ = trigram_counts(part.column(1).to_pylist())
-                yield pa.record_batch([part.column(0), pa.array([row.tobytes() for row in counts], pa.binary())], names=["lang", "counts"])
+                places = [np.flatnonzero(row).astype(np.uint16) for row in counts]
+                sketches = shares(counts)[:, :BUCKETS].reshape(len(counts), SKETCH, -1).sum(axis=2).astype(np.float64)
+                yield pa.record_batch([
+                    part.column(0), pa.array([p.tobytes() for p in places], pa.binary()),
+                    pa.array([row[p].tobytes() for row, p in zip(counts, places)], pa.binary()),
+                    pa.array(list(sketches), pa.list_(pa.float64()))], names=["lang", "places", "counts", "sketch"])
+
+    return sample.mapInArrow(counted, "lang string, places binary, counts binary, sketch array<double>")
+
 
-    rows = sorted((tuple(r) for r in sample.mapInArrow(counted, "lang string, counts binary").collect()))
-    x = shares(np.frombuffer(b"".join(bytes(r[1]) for r in rows), np.float32).reshape(-1, BUCKETS))
-    return LanguageModel(x, np.array([r[0] for r in rows], object))
+def _fit_one(group: pd.DataFrame) -> pd.DataFrame:
+    """The weights of one machine from the rows of both its sides, whatever order they come in."""
+    release()
+    counts = np.zeros((len(group), BUCKETS), np.float32)
+    for row, places, values in zip(counts, group["places"], group["counts"]):
+        row[np.frombuffer(places, np.uint16)] = np.frombuffer(values, np.float32)
+    order = sorted(range(len(group)), key=lambda i: (group["lang"].iat[i], counts[i].tobytes()))
+    weights = fit_svm(shares(counts[order]), group["first"].to_numpy(bool)[order]).astype(np.float32)
+    return pd.DataFrame({"machine": [group["machine"].iat[0]], "weights": [weights.tobytes()]})
+
+
+def fit(sample: DataFrame) -> LanguageModel:
+    """A model of the sample.  Each machine is fitted in a task; only weights come to the driver."""
+    rows = stored(_sparse_counts(sample), "language-sample")
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sketches = {}
+    if len(sizes) > MOST_PAIRED:
+        means = F.array(*[F.round(F.avg(F.col("sketch")[i]), 9) for i in range(SKETCH)])
+        sketches = {r["lang"]: np.array(r["mean"]) for r in rows.groupBy("lang").agg(means.alias("mean")).collect()}
+    model = LanguageModel(sorted(sizes), sketches)
+    places, seats = [], []
+    for node in model.nodes():
+        inside = [node.languages(k) for k in range(len(node.names))]
+        share = [ROWS_PER_SIDE / max(sum(sizes[n] for n in names), 1) for names in inside]
+        for column, pair in enumerate(node.pairs):
+            seats += [(name, len(places), k == pair[0], share[k]) for k in pair for name in inside[k]]
+            places.append((node, column))
+    if places:
+        spark = rows.sparkSession
+        held = spark.createDataFrame(seats, "lang string, machine int, first boolean, share double")
+        draw = F.shiftrightunsigned(F.xxhash64("lang", "places", "counts"), 11) / F.lit(float(1 << 53))
+        dealt = rows.drop("sketch").withColumn("draw", draw).join(F.broadcast(held), "lang").where("draw < share")
+        fitted = dealt.drop("draw", "share").groupBy("machine").applyInPandas(_fit_one, "machine int, weights binary")
+        for r in fitted.toLocalIterator():
+            node, column = places[r["machine"]]
+            node.weights[:, column] = np.frombuffer(r["weights"], np.float32)
+    discard(rows)
+    return model
 
 
 def predict_language(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
