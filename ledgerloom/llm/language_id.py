@@ -306,10 +306,11 @@ def fit(sample: DataFrame) -> LanguageModel:
         held = spark.createDataFrame(seats, "lang string, machine int, first boolean, share double")
         draw = F.shiftrightunsigned(F.xxhash64("lang", "places", "counts"), 11) / F.lit(float(1 << 53))
         dealt = rows.drop("sketch").withColumn("draw", draw).join(F.broadcast(held), "lang").where("draw < share")
-        fitted = dealt.drop("draw", "share").groupBy("machine").applyInPandas(_fit_one, "machine int, weights binary")
-        for r in fitted.toLocalIterator():
+        fitted = stored(dealt.drop("draw", "share").groupBy("machine").applyInPandas(_fit_one, "machine int, weights binary"), "language-machines")
+        for r in fitted.toLocalIterator():  # the machines are fitted by now; a file of them at a time is read
             node, column = places[r["machine"]]
             node.weights[:, column] = np.frombuffer(r["weights"], np.float32)
+        discard(fitted)
     discard(rows)
     return model
 
