@@ -15,7 +15,7 @@ functions only: no row is shuffled but the counts of the templates' own words.
 
 Edge cases: null is the empty text, without words and labels; upper-case letters count as lower-case;
 repeated rows and ties are scanned alike; any length is scanned whole; an empty table gives an empty
-result (all words then count as equally rare).
+result (all words then count as equally rare).  Columns with the names of results give way to them.
 """
 
 from __future__ import annotations

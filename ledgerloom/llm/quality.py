@@ -9,7 +9,8 @@ is held against one fixed threshold.  Base rules on word counts and repetition c
 
 Edge cases: a null or empty text has no words and fails the base rules; a text of under three
 characters scores 0; without any trusted document all scores are 0; rows pass one by one, so ties and
-repeated rows get equal verdicts; an empty table gives an empty result.
+repeated rows get equal verdicts; an empty table gives an empty result; columns with the names of results
+give way to them, others stay.
 """
 
 from __future__ import annotations

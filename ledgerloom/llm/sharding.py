@@ -8,7 +8,8 @@ rows only into itself, a fair share of each other one.  Only DataFrame functions
 
 Edge cases: a null id is a key of its own; equal ids share a shard and get slots of their own; a null
 text has no bytes and the checksum of the empty text; an empty table gives an empty result.  Equal
-texts under different ids are placed by their ids, as the law demands.
+texts under different ids are placed by their ids, as the law demands.  Columns with the names of results
+give way to them, others stay.
 """
 
 from __future__ import annotations
