@@ -506,7 +506,8 @@ SQL_HISTORY = f"""
            DATE '{HISTORY_CHANGE_DATE}' AS change_date
     FROM customer WHERE c_acctbal < 0""")
 def changed_tiers(t: Tables) -> DataFrame:
-    return history.changed_rows(t.change_feed, t.dimension_base, "customer_id", "tier", "new_tier", "change_date")
+    # A tier changes without an order too, so the base is every customer and not only those with a first order.
+    return history.changed_rows(t.change_feed, t.customers, "customer_id", "tier", "new_tier", "change_date")
 
 
 def _dimension(t: Tables) -> DataFrame:
