@@ -133,14 +133,13 @@ def as_of_merge(probe: DataFrame, dim: DataFrame, key: str, at: str, attrs: Sequ
     return found.where(in_force).select("__probe.*", *[F.col("__version")[a].alias(a) for a in attrs])
 
 
-def _pair_counts(copies: DataFrame, basket: str, item: str, first: str, second: str, score: str,
-                 kept: Column | None = None) -> DataFrame:
-    """Pairs and their counts from lines reduced to (basket, item, copies, weight)."""
-    heads = copies.select(basket, F.col(item).alias(first), F.col("copies").alias("copies_1"), F.col("weight").alias("weight_1"))
-    tails = copies.select(basket, F.col(item).alias(second), F.col("copies").alias("copies_2"), F.col("weight").alias("weight_2"))
+def _pairs(copies: DataFrame, basket: str, item: str, names: Sequence[str], *extra: str) -> DataFrame:
+    """Pairs of items, a row for each of their baskets, from lines reduced to (basket, item, copies, weight)."""
+    first, second, score = names
+    heads = copies.select(basket, F.col(item).alias(first), *[F.col(c).alias(f"{c}_1") for c in ("copies", *extra)])
+    tails = copies.select(basket, F.col(item).alias(second), *[F.col(c).alias(f"{c}_2") for c in ("copies", *extra)])
     pairs = heads.join(tails, basket).where(F.col(first) < F.col(second))
-    pairs = pairs if kept is None else pairs.where(kept)
-    return pairs.groupBy(first, second).agg(F.sum(F.col("copies_1") * F.col("copies_2")).alias(score))
+    return pairs.withColumn(score, F.col("copies_1") * F.col("copies_2"))
 
 
 def co_occurrence(df: DataFrame, basket: str, item: str, n: int,
@@ -151,18 +150,27 @@ def co_occurrence(df: DataFrame, basket: str, item: str, n: int,
     most the geometric mean of its two weights (Cauchy-Schwarz).  The best pairs among the items of
     most weight give a last place, which every pair of the answer must match or beat.  Only pairs whose
     weights allow that are formed, in wide and narrow baskets alike.
+
+    Lines and pairs are mostly distinct, so a sum ahead of a shuffle would hold nearly all rows of its
+    task.  Both are dealt first, over as many partitions as ``spark.sql.shuffle.partitions`` says, which
+    are not merged afterwards, and summed where they land.  Pairs among the items of most weight, which
+    may be very frequent, are summed ahead of the shuffle; there are few of them.
     """
     first, second, score = names
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lines = df.select(basket, item).where(F.col(basket).isNotNull() & F.col(item).isNotNull())
-    copies = lines.groupBy(basket, item).agg(F.count(F.lit(1)).alias("copies"))
+    copies = lines.repartition(parts, basket, item).groupBy(basket, item).agg(F.count(F.lit(1)).alias("copies"))
     weights = copies.groupBy(item).agg(F.sum(F.col("copies").cast("double") * F.col("copies")).alias("weight"))
     places = [F.desc(score), F.asc(first), F.asc(second)]
-    heaviest = F.broadcast(weights.orderBy(F.desc("weight"), F.asc(item)).limit(2 * n + 50))
-    known = _pair_counts(copies.join(heaviest, item), basket, item, first, second, score).orderBy(*places).limit(n)
+    heaviest = F.broadcast(weights.orderBy(F.desc("weight"), F.asc(item)).limit(2 * n + 50).select(item, F.lit(True).alias("heavy")))
+    total = F.sum(score).alias(score)
+    known = _pairs(copies.join(heaviest, item), basket, item, names).groupBy(first, second).agg(total).orderBy(*places).limit(n)
     floor = known.agg(F.when(F.count(F.lit(1)) == n, F.min(score)).otherwise(F.lit(1))).scalar()
     most = weights.agg(F.max("weight")).scalar()
     slack = 1 + 1e-9
-    able = weights.where(F.sqrt("weight") * F.sqrt(most) * slack >= floor)
+    able = weights.where(F.sqrt("weight") * F.sqrt(most) * slack >= floor).join(heaviest, item, "left").hint("shuffle_hash")
     reaches = F.sqrt("weight_1") * F.sqrt("weight_2") * slack >= floor
-    counted = _pair_counts(copies.join(able, item), basket, item, first, second, score, reaches)
+    is_new = F.col("heavy_1").isNull() | F.col("heavy_2").isNull()
+    others = _pairs(copies.join(able, item).repartition(parts, basket), basket, item, names, "weight", "heavy").where(reaches & is_new)
+    counted = others.select(first, second, score).repartition(parts, first, second).groupBy(first, second).agg(total).unionByName(known)
     return counted.orderBy(*places).limit(n)
