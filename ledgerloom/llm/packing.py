@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from ledgerloom.llm.shared import stored
-from ledgerloom.llm.text_maps import ROWS
+from ledgerloom.llm.text_maps import bites
 from ledgerloom.llm.vocabularies import release
 
 LENGTH = 4096
@@ -38,7 +38,7 @@ def _tokenizing(vocabulary: str, end: int) -> Callable[[Iterator[pa.RecordBatch]
         from ledgerloom.llm.vocabularies import text_ids
 
         encode, last, part, before = text_ids(vocabulary), end.to_bytes(WIDTH, "little"), TaskContext.get().partitionId(), 0
-        for batch in (whole.slice(low, ROWS) for whole in batches for low in range(0, whole.num_rows, ROWS)):
+        for batch in bites(batches, 1):
             tokens, sizes = encode.of_all(batch.column(1))
             ends = np.cumsum(sizes)
             ids = [tokens[low:high].tobytes() + last for low, high in zip(ends - sizes, ends)]
@@ -58,7 +58,7 @@ def _tokenizing(vocabulary: str, end: int) -> Callable[[Iterator[pa.RecordBatch]
 def _cutting(length: int, with_ids: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        for batch in batches:
+        for batch in bites(batches, 3):
             rows, starts, sizes, sums, places, pieces = [], [], [], [], [], []
             for row, (place, count, ids) in enumerate(zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)))):
                 whole, start = memoryview(ids), 0
