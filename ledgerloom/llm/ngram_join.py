@@ -78,10 +78,7 @@ class Shingler:
     def __init__(self, size: int = SHINGLE):
         import xxhash
 
-        from ledgerloom.llm.vocabularies import Memo
-
         self.size, self.digest = size, xxhash.xxh64_intdigest
-        self.words = Memo(self.digest)
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = (text or "").encode().lower().split()
@@ -89,7 +86,7 @@ class Shingler:
             return np.zeros(0, np.int64)
         if len(words) < self.size:
             return np.array([self.digest(b" ".join(words), seed=len(words))], np.uint64).view(np.int64)
-        hashes = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
+        hashes = np.fromiter(map(self.digest, words), np.uint64, len(words))
         n = len(words) - self.size + 1
         mixed = hashes[:n].copy()
         for k in range(1, self.size):
@@ -108,6 +105,15 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*arrays, np.zeros(0, np.int64)]).astype(np.int64)))
 
 
+def repeated(lot: list[np.ndarray], times: int) -> np.ndarray:
+    """The hashes that the arrays hold at least so many times.  The list is emptied: a lot is held once, and sorted in place."""
+    hashes = np.concatenate(lot)
+    lot.clear()
+    hashes.sort()
+    later = hashes[times - 1:]
+    return np.unique(later[later == hashes[:len(later)]])
+
+
 def _reduced(docs: DataFrame, percent: int, size: int) -> DataFrame:
     """``id, node, n, least`` per row, and rows with ``n = -1`` that list shingles frequent in a lot."""
 
@@ -133,8 +139,8 @@ def _reduced(docs: DataFrame, percent: int, size: int) -> DataFrame:
             yield frequent(lot, batch.schema.field(0).type)
 
     def frequent(lot: list[np.ndarray], id_type: pa.DataType) -> pa.RecordBatch:
-        found, counts = np.unique(np.concatenate(lot), return_counts=True)
-        return pa.record_batch([pa.nulls(1, id_type), pa.array([0], pa.int64()), pa.array([-1], pa.int64()), _lists([found[counts >= FREQUENT_IN_LOT]])], names=["id", "node", "n", "least"])
+        found = repeated(lot, FREQUENT_IN_LOT)
+        return pa.record_batch([pa.nulls(1, id_type), pa.array([0], pa.int64()), pa.array([-1], pa.int64()), _lists([found])], names=["id", "node", "n", "least"])
 
     id_type = docs.schema["__id"].dataType.simpleString()
     return docs.select("__id", "__text").mapInArrow(reduce, f"id {id_type}, node long, n long, least array<long>")

@@ -39,7 +39,7 @@ MOST_REPEATED = 20  # percent of the words
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 #: Characters worked on at once.
-LINE = 2_000_000
+LINE = 250_000
 
 _words = re.compile(WORD).findall
 
