@@ -146,13 +146,22 @@ def _reduced(docs: DataFrame, percent: int, size: int) -> DataFrame:
     return docs.select("__id", "__text").mapInArrow(reduce, f"id {id_type}, node long, n long, least array<long>")
 
 
-def _field_of(ids: DataFrame, hashed: bool = True) -> bytes:
-    """A bit field, of fixed size, of hashes of ``id``, or of ``id`` itself if that is a hash."""
-    place = F.pmod(F.xxhash64("id") if hashed else F.col("id"), F.lit(FIELD_BITS))
+def _field_words(ids: DataFrame, hashed: bool = True) -> DataFrame:
+    """``word, bits``: the words other than zero of a bit field, of fixed size, of hashes of ``id``, or of ``id`` itself if that is a hash."""
+    place = field_place("id") if hashed else F.pmod(F.col("id"), F.lit(FIELD_BITS))
     words = ids.select(F.floor(place / 64).alias("word"), (place % 64).cast("int").alias("bit")).distinct()
-    one = F.expr("shiftleft(1L, bit)")
+    return words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+
+
+def field_place(row_id: str) -> Column:
+    """The place of an id in a bit field."""
+    return F.pmod(F.xxhash64(row_id), F.lit(FIELD_BITS))
+
+
+def _field_of(ids: DataFrame, hashed: bool = True) -> bytes:
+    """The bit field of ``_field_words`` as bytes."""
     field = np.zeros(FIELD_BITS // 64, np.int64)
-    for word, bits in words.groupBy("word").agg(F.bit_or(one)).collect():
+    for word, bits in _field_words(ids, hashed).collect():
         field[word] = bits
     return field.tobytes()
 
@@ -174,7 +183,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 sets = [shingler(t) for t in batch.column(0).take(pa.array(hit[low:low + 256])).to_pylist()]
                 yield pa.record_batch([pa.array([shingler.fingerprint(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), _lists(sets)], names=["node", "n", "all"])
 
-    rows = docs.select("__text", F.pmod(F.xxhash64("__id"), F.lit(FIELD_BITS)).alias("place"))
+    rows = docs.select("__text", field_place("__id").alias("place"))
     sets = rows.mapInArrow(shingle, "node long, n long, all array<long>")
     return sets.join(wanted.select("key", "node"), "node").dropDuplicates(["node"]).drop("node")
 

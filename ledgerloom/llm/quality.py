@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField
 
 from ledgerloom.llm import ngram_join
-from ledgerloom.llm.shared import WORD
+from ledgerloom.llm.shared import WORD, checkpointed
 from ledgerloom.llm.text_maps import ROWS, map_texts
 from ledgerloom.llm.vocabularies import release
 
@@ -98,32 +98,31 @@ def bucket_counts(docs: DataFrame, text: str) -> DataFrame:
 def trusted_documents(docs: DataFrame, labels: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Id and text of all documents that labels call good and not toxic.
 
-    A bit field of the good ids lets documents pass where they are.  The ids that pass by chance are
+    A bit field of the good ids lets documents pass where they are, in DataFrame functions: a task that
+    counts what passes holds one Python worker, not two.  The ids that pass by chance are
     found by a join of ids alone and make a second field: what passes the first and is not in the
     second is trusted, and what is in both is looked up.
     """
     kind = docs.schema[row_id].dataType
     good = labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select(F.col("doc_id").cast(kind).alias("id")).where("id is not null")
-    first = ngram_join._field_of(good)
+    first = checkpointed(ngram_join._field_words(good))
     rows = docs.select(F.col(row_id).alias("id"), F.col(text).alias("text"))
 
-    def passing(rows: DataFrame, inside: bytes, other: bytes, in_other: bool) -> DataFrame:
-        """The rows in one field, and in or not in another one."""
-
-        def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            release()
-            for batch in batches:
-                hit = ngram_join._in_field(inside, batch.column(0)) & (ngram_join._in_field(other, batch.column(0)) == in_other)
-                yield pa.record_batch(batch.columns[1:], names=batch.schema.names[1:]).filter(pa.array(hit))
-
-        place = F.pmod(F.xxhash64("id"), F.lit(ngram_join.FIELD_BITS)).alias("place")
-        return rows.select(place, *rows.columns).mapInArrow(passed, rows.schema)
-
-    by_chance = passing(rows.select("id"), first, bytes(len(first)), False).distinct().join(good, "id", "leftanti")
-    second = ngram_join._field_of(by_chance)
-    found = passing(rows, first, second, False)
-    if any(second):
-        found = found.union(passing(rows, first, second, True).join(good, "id", "leftsemi"))
+    def marked(rows: DataFrame, field: DataFrame, name: str) -> DataFrame:
+        """The rows with ``name``: whether they are in the field, whose words (of fixed number at most) go to all tasks."""
+        place = ngram_join.field_place("id")
+        words = F.broadcast(field.select(F.col("word").alias("__word"), F.col("bits").alias("__bits")))
+        inside = F.coalesce(F.expr("shiftright(__bits, cast(__place % 64 as int)) & 1"), F.lit(0)) == 1
+        return rows.withColumn("__place", place).join(words, F.floor(F.col("__place") / 64) == F.col("__word"), "left").withColumn(name, inside).drop("__place", "__word", "__bits")
+
+    by_chance = marked(rows.select("id"), first, "__first").where("__first").select("id").distinct().join(good, "id", "leftanti")
+    second = checkpointed(ngram_join._field_words(by_chance))
+    passing = marked(rows, first, "__first").where("__first")
+    if second.isEmpty():
+        found = passing
+    else:
+        both = marked(passing, second, "__second")
+        found = both.where("not __second").select("id", "text").union(both.where("__second").select("id", "text").join(good, "id", "leftsemi"))
     return found.select(F.col("id").alias(row_id), F.col("text").alias(text))
 
 
@@ -209,6 +208,14 @@ def judge_quality(docs: DataFrame, ratios: np.ndarray, text: str = "text", thres
 
 def kept_documents(docs: DataFrame, ratios: np.ndarray, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows that the rules keep, unchanged."""
-    copied = docs.withColumn("__judged", F.col(text))
-    judged = judge_quality(copied, ratios, "__judged", threshold)
-    return judged.where("kept").select(*docs.columns)
+    place = [c.lower() for c in docs.columns].index(text.lower())
+    judging = _judging(ratios, threshold)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        judge = judging()
+        for whole in batches:
+            for batch in (whole.slice(low, ROWS) for low in range(0, whole.num_rows, ROWS)):
+                yield batch.filter(judge(batch.column(place).to_pylist())[-1])
+
+    return docs.mapInArrow(kept, docs.schema)
