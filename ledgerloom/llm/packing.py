@@ -31,6 +31,8 @@ END = 2
 VOCABULARY = "word_bpe_49k.json"
 #: Bytes of an id.
 WIDTH = 4
+#: Batches of bounded size whose distinct words are looked up together.
+TOGETHER = 8
 
 
 def _tokenizing(vocabulary: str, end: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -38,19 +40,20 @@ def _tokenizing(vocabulary: str, end: int) -> Callable[[Iterator[pa.RecordBatch]
         from ledgerloom.llm.vocabularies import text_ids
 
         encode, last, part, before = text_ids(vocabulary), end.to_bytes(WIDTH, "little"), TaskContext.get().partitionId(), 0
-        for batch in bites(batches, 1):
-            tokens, sizes = encode.of_all(batch.column(1))
-            ends = np.cumsum(sizes)
-            ids = [tokens[low:high].tobytes() + last for low, high in zip(ends - sizes, ends)]
-            counts = (sizes + 1).tolist()
-            places = []
-            for count in counts:
-                places.append(before)
-                before += count
-            yield pa.record_batch(
-                [batch.column(0), pa.array([part] * len(ids), pa.int32()), pa.array(places, pa.int64()), pa.array(counts, pa.int64()), pa.array(ids, pa.binary())],
-                names=["__id", "part", "before", "doc_tokens", "ids"],
-            )
+        for several in bites(batches, 1, TOGETHER):
+            parts = list(bites(iter([several]), 1))
+            for batch, (tokens, sizes) in zip(parts, encode.of_parts([p.column(1) for p in parts])):
+                ends = np.cumsum(sizes)
+                ids = [tokens[low:high].tobytes() + last for low, high in zip(ends - sizes, ends)]
+                counts = (sizes + 1).tolist()
+                places = []
+                for count in counts:
+                    places.append(before)
+                    before += count
+                yield pa.record_batch(
+                    [batch.column(0), pa.array([part] * len(ids), pa.int32()), pa.array(places, pa.int64()), pa.array(counts, pa.int64()), pa.array(ids, pa.binary())],
+                    names=["__id", "part", "before", "doc_tokens", "ids"],
+                )
 
     return tokenized
 
